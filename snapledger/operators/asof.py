@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from snapledger.functions.columns import as_date, desc_order, latest_per_key
 from snapledger.model import Entity
-from snapledger.operators.silver import FLAG, dedup_events, prepare_increment
+from snapledger.operators.silver import FLAG, prepare_increment
 
 # Upper bound on the number of days one as_of_many call may ask for; the date
 # list is inlined into the plan as a literal array, so it must stay small.
@@ -25,8 +25,19 @@ def _state_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (FLAG, "line_created_at")]
 
 
+DELIVERY_COLUMNS = ("bronze_ingestion_date", "ingestion_date")
+
+
 def _version_order(df: DataFrame, entity: Entity) -> list:
+    """Newest version first: event day, event time, then newest delivery.
+
+    Putting the delivery time right after the event time makes ranking raw
+    (undeduplicated) events give the same winner as deduplicating first,
+    because all deliveries of one event share its key, time and day (bronze
+    rejects rows whose day differs from the day of their event time).
+    """
     first = ["transaction_date", "transaction_datetime"]
+    first += [c for c in DELIVERY_COLUMNS if c in df.columns]
     rest = [c for c in _state_columns(df) if c not in first and c not in entity.business_key]
     return desc_order([*first, *rest])
 
@@ -34,7 +45,9 @@ def _version_order(df: DataFrame, entity: Entity) -> list:
 def as_of(silver: DataFrame, entity: Entity, cutoff: str | dt.date) -> DataFrame:
     """Latest version per business key among rows with ``transaction_date <= cutoff``.
 
-    The cutoff filter is applied before ranking, so it prunes partitions /
+    ``silver`` may be the deduplicated silver table or the raw event rows: one
+    ranked pass handles redeliveries too (see :func:`_version_order`). The
+    cutoff filter is applied before ranking, so it prunes partitions /
     row groups at the scan (it is a partition-column literal comparison).
     """
     cut = as_date(cutoff)
@@ -47,12 +60,11 @@ def as_of_known_by(
 ) -> DataFrame:
     """Bitemporal as-of: only deliveries received by ``known_by`` count.
 
-    Starts from bronze (every delivery), because deduplication must run after
-    the delivery-time filter.
+    Starts from bronze (every delivery), because the delivery-time filter
+    must come before deduplication; the ranked as-of pass then deduplicates.
     """
     delivered = bronze.filter(F.col("ingestion_date") <= F.lit(known_by).cast("timestamp_ntz"))
-    silver_like = dedup_events(prepare_increment(delivered, entity, F.lit(None).cast("timestamp_ntz")), entity)
-    return as_of(silver_like, entity, cutoff)
+    return as_of(prepare_increment(delivered, entity, F.lit(None).cast("timestamp_ntz")), entity, cutoff)
 
 
 def validity_intervals(silver: DataFrame, entity: Entity) -> DataFrame:

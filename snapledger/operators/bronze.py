@@ -39,11 +39,17 @@ def stamp_ingestion(df: DataFrame, at: Column | dt.datetime | None = None) -> Da
 
 
 def split_valid(df: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected): rows need every event-key column and the partition day."""
-    required = [*entity.event_key, entity.partition_col]
+    """(valid, rejected) events.
+
+    A valid event has every event-key column and a partition day equal to the
+    day of its event time. The second rule keeps all deliveries of one event
+    in one partition and lets as-of ranking run directly on undeduplicated
+    events (see :func:`snapledger.operators.asof.as_of`).
+    """
     ok = F.lit(True)
-    for c in required:
+    for c in entity.event_key:
         ok = ok & F.col(c).isNotNull()
+    ok = ok & F.coalesce(F.col(entity.partition_col) == F.to_date("transaction_datetime"), F.lit(False))
     return df.filter(ok), df.filter(~ok)
 
 

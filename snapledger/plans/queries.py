@@ -23,7 +23,6 @@ TOP_N = 50
 TOP_K = 2
 ASOF_CUTOFF = dt.date(1998, 6, 30)
 SNAPSHOT_DAYS = (dt.date(1996, 12, 31), dt.date(1998, 6, 30), dt.date(2001, 12, 31))
-RERUN_DAY = dt.date(1998, 6, 30)
 BATCH_CUT = dt.datetime(1997, 1, 1)       # deliveries up to here form batch 1
 KNOWN_BY = dt.datetime(1998, 7, 1)        # bitemporal as-of: deliveries received by then
 WINDOW_START, WINDOW_END = dt.date(1998, 1, 1), dt.date(1998, 2, 1)
@@ -41,7 +40,7 @@ def snapshot_stamp(day: dt.date) -> dt.datetime:
 
 
 def _bronze(spark: SparkSession, sf: str, entity: Entity) -> DataFrame:
-    events = testmap.event_tables(spark, sf)[entity.name]
+    events = testmap.events_for(spark, sf, entity.name)
     valid, _ = bronze.split_valid(bronze.typed_events(events, entity), entity)
     return valid
 
@@ -50,25 +49,43 @@ def _silver(spark: SparkSession, sf: str, entity: Entity) -> DataFrame:
     return silver.build_silver(_bronze(spark, sf, entity), entity, line_created_at=LINE_CREATED_AT)
 
 
-def _silvers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {name: _silver(spark, sf, e) for name, e in ENTITIES.items()}
+def _events(spark: SparkSession, sf: str, entity: Entity) -> DataFrame:
+    """Silver-shaped but undeduplicated events: as-of ranks them in one pass.
 
+    Gold does not need the current-record flag, so when silver is not stored
+    the as-of step reads the prepared events directly.
+    """
+    return silver.prepare_increment(_bronze(spark, sf, entity), entity, LINE_CREATED_AT)
 
-def _snapshot(sv: dict[str, DataFrame], day: dt.date, grain: str = "item") -> DataFrame:
-    p = asof.as_of(sv["purchase"], PURCHASE, day)
-    i = asof.as_of(sv["product_item"], PRODUCT_ITEM, day)
-    x = asof.as_of(sv["purchase_extra_info"], EXTRA_INFO, day)
+
+def _all_events(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {name: _events(spark, sf, e) for name, e in ENTITIES.items()}
+
+
+def _snapshot(ev: dict[str, DataFrame], day: dt.date, grain: str = "item") -> DataFrame:
+    p = asof.as_of(ev["purchase"], PURCHASE, day)
+    i = asof.as_of(ev["product_item"], PRODUCT_ITEM, day)
+    x = asof.as_of(ev["purchase_extra_info"], EXTRA_INFO, day)
     return gold.purchase_snapshot(p, i, x, day, snapshot_stamp(day), grain=grain)
 
 
-def _ledger(spark: SparkSession, sf: str, grain: str = "item", rerun: bool = True) -> DataFrame:
-    """Ledger after the daily runs of SNAPSHOT_DAYS (plus a rerun of RERUN_DAY)."""
-    sv = _silvers(spark, sf)
-    ledger = None
-    days = list(SNAPSHOT_DAYS) + ([RERUN_DAY] if rerun else [])
-    for day in days:
-        ledger = gold.append_snapshot(ledger, _snapshot(sv, day, grain), day)
-    return ledger
+def _stamp_after(col: str = "snapshot_date"):
+    """Run time of each day's job (midnight after the snapshot day), as a column."""
+    return F.col(col).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
+
+
+def _ledger_for(spark: SparkSession, sf: str, days, grain: str = "item") -> DataFrame:
+    """Snapshots of many days in one pass over validity intervals."""
+    ev = _all_events(spark, sf)
+    p = asof.as_of_many(ev["purchase"], PURCHASE, days)
+    i = asof.as_of_many(ev["product_item"], PRODUCT_ITEM, days)
+    x = asof.as_of_many(ev["purchase_extra_info"], EXTRA_INFO, days)
+    return gold.purchase_snapshot(p, i, x, snapshot_datetime=_stamp_after(), grain=grain)
+
+
+def _ledger(spark: SparkSession, sf: str, grain: str = "item") -> DataFrame:
+    """Ledger holding the daily snapshots of SNAPSHOT_DAYS."""
+    return _ledger_for(spark, sf, SNAPSHOT_DAYS, grain)
 
 
 def _mart(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,7 +167,7 @@ def q_silver_product_item_enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 def _q_asof(entity: Entity) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        return asof.as_of(_silver(spark, sf, entity), entity, ASOF_CUTOFF)
+        return asof.as_of(_events(spark, sf, entity), entity, ASOF_CUTOFF)
 
     return q
 
@@ -163,7 +180,7 @@ def q_asof_item_known_by(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_purchase_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return _snapshot(_silvers(spark, sf), ASOF_CUTOFF)
+    return _snapshot(_all_events(spark, sf), ASOF_CUTOFF)
 
 
 def q_snapshot_ledger(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +188,7 @@ def q_snapshot_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_snapshot_ledger_purchase_grain(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.mark_current_snapshot(_ledger(spark, sf, grain="purchase", rerun=False))
+    return gold.mark_current_snapshot(_ledger(spark, sf, grain="purchase"))
 
 
 def q_gmv_daily_by_subsidiary(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,13 +216,7 @@ def backfill_days(spark: SparkSession, sf: str) -> list[dt.date]:
 
 def q_snapshot_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """GMV mart for every quarter end, computed in one pass over validity intervals."""
-    days = backfill_days(spark, sf)
-    sv = _silvers(spark, sf)
-    p = asof.as_of_many(sv["purchase"], PURCHASE, days)
-    i = asof.as_of_many(sv["product_item"], PRODUCT_ITEM, days)
-    x = asof.as_of_many(sv["purchase_extra_info"], EXTRA_INFO, days)
-    stamp = F.col("snapshot_date").cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
-    ledger = gold.purchase_snapshot(p, i, x, snapshot_datetime=stamp)
+    ledger = _ledger_for(spark, sf, backfill_days(spark, sf))
     return gold.gmv_daily(ledger).drop("is_current_snapshot", "transaction_date")
 
 
@@ -217,8 +228,7 @@ def q_quarantine_missing_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    stamp = F.col("snapshot_date").cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
-    return quality.dq_metrics(_ledger(spark, sf), run_datetime=stamp)
+    return quality.dq_metrics(_ledger(spark, sf), run_datetime=_stamp_after())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.functions.columns import broadcast_if_small, days_after, hours_after
+from snapledger.functions.columns import days_after, hours_after
 from snapledger.model import MONEY
 
 # Fixed derivation parameters of the event views.
@@ -27,7 +27,6 @@ EXTRA_MOVE_MODULUS = 13         # extra info of o_orderkey % 13 = 0 moves 60 day
 EXTRA_MOVE_DAYS = 60
 MOVED_SUBSIDIARY = "MOVED"
 ITEM_PARTITIONS = 8             # prod_item_partition = key % 8 in the report inputs
-DIMENSION_BROADCAST_ROWS = 10_000  # nation / region lookups are broadcast below this
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,8 +94,9 @@ def extra_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = broadcast_if_small(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"),
-                             DIMENSION_BROADCAST_ROWS)
+    # nation and region are a few KB on disk: Spark broadcasts them from file
+    # statistics, and AQE re-checks the real size at runtime before broadcasting.
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
     cust_region = c.join(geo, c.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
     base = o.join(cust_region, o.o_custkey == cust_region.c_custkey)
 
@@ -144,10 +144,18 @@ def report_product_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENT_VIEWS = {
+    "purchase": purchase_events,
+    "product_item": item_events,
+    "purchase_extra_info": extra_events,
+}
+
+
+def events_for(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFrame:
+    """Bronze-shaped events of one entity."""
+    return EVENT_VIEWS[entity_name](spark, sf_dir)
+
+
 def event_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Bronze-shaped events keyed by entity name."""
-    return {
-        "purchase": purchase_events(spark, sf_dir),
-        "product_item": item_events(spark, sf_dir),
-        "purchase_extra_info": extra_events(spark, sf_dir),
-    }
+    return {name: build(spark, sf_dir) for name, build in EVENT_VIEWS.items()}
