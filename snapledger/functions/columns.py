@@ -66,11 +66,22 @@ def as_date(d: str | dt.date) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+_SIZE_CHECKS: dict[tuple[str, str], bool] = {}
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, cache_key: str | None = None) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
-    The check runs on at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned as is and Spark plans a shuffle join instead.
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
+    is returned unchanged and Spark plans a shuffle join (or AQE decides from
+    measured sizes). ``cache_key`` names an immutable input (e.g. a dimension
+    table path) whose check result is reused within the application.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, cache_key) if cache_key else None
+    if key is not None and key in _SIZE_CHECKS:
+        small = _SIZE_CHECKS[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _SIZE_CHECKS[key] = small
+    return F.broadcast(df) if small else df

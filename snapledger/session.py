@@ -16,6 +16,16 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # No broadcast from plan-time estimates: they come from compressed file
+    # sizes and ignore fan-out (explode, joins), so they can be far too small.
+    # Broadcasts happen only (a) at runtime, when AQE has measured the real
+    # shuffle output of a side, or (b) explicitly after a row-count check
+    # (functions.broadcast_if_small).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    # A side already hash-partitioned on a subset of the join keys (e.g.
+    # purchase_id for keys purchase_id, snapshot_date) is joined in place.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Writes replace only the partitions present in the data being written.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
