@@ -148,6 +148,20 @@ QUARANTINE_COLUMNS = [
     "snapshot_datetime",
 ]
 
+QUARANTINE_SCHEMA = T.StructType([f for c in QUARANTINE_COLUMNS for f in LEDGER_SCHEMA.fields if f.name == c])
+
+DQ_SCHEMA = _schema(
+    ("snapshot_date", T.DateType()),
+    ("total_purchases_asof", T.LongType()),
+    ("succeded_transactions", T.LongType()),
+    ("missing_product_item_cnt", T.LongType()),
+    ("missing_extra_info_cnt", T.LongType()),
+    ("unknown_subsidiary_cnt", T.LongType()),
+    ("gvm_rows", T.LongType()),
+    ("gmv_total_value", T.DoubleType()),
+    ("snapshot_datetime", TS),
+)
+
 MART_SCHEMA = _schema(
     ("snapshot_date", T.DateType()),
     ("release_date", T.DateType()),

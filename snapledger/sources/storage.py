@@ -1,8 +1,20 @@
-"""Typed Parquet storage: reads, appends and partition-scoped replacement."""
+"""Typed Parquet storage: reads, appends and partition-scoped replacement.
+
+All writes go through Spark's commit protocol, so a lost executor only
+re-runs its tasks. A table is never overwritten from a plan that still reads
+it: such writes are staged with ``checkpoint()`` into the shared folder named
+by ``spark.checkpoint.dir`` first.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from snapledger.session import checkpoint_dir
 
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
@@ -19,3 +31,64 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() * 2 > target:
         return df
     return df.repartition(target)
+
+
+def _missing(e: AnalysisException) -> bool:
+    cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+    return (cond() if cond else None) == "PATH_NOT_FOUND"
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """Typed read of a Parquet table; ``None`` when it does not exist yet.
+
+    Only a missing path counts as "does not exist"; any other analysis error
+    (bad schema, permissions) is raised.
+    """
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Like :func:`read_table`, but an absent table is a typed empty DataFrame."""
+    df = read_table(spark, path, schema)
+    return df if df is not None else spark.createDataFrame([], schema)
+
+
+def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Group rows of a partition into few files without a single-task hot spot.
+
+    The REBALANCE hint lets AQE coalesce small outputs and split a partition
+    value that holds a large share of all rows over several tasks.
+    """
+    return df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
+
+
+def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
+    """Append-only write (bronze, event logs)."""
+    _balanced(df, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    """Overwrite exactly the partitions present in ``df``; all others are kept."""
+    (
+        _balanced(df, partition_cols)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used before overwriting a table that ``df`` was computed from, and to
+    survive executor loss in long chains (a reliable checkpoint, never a
+    local one).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
