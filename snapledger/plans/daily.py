@@ -11,6 +11,12 @@ Layout under ``root`` (all Parquet):
 
 Each step is idempotent: re-running a day replaces exactly that day's
 partitions; silver re-processing is absorbed by deduplication.
+
+Bronze and silver are partitioned by event day (``event_partition="day"``,
+right when a day holds many files' worth of events) or by event month
+(``"month"``, a derived ``transaction_month`` column, for tables whose days
+hold only a few rows: thousands of tiny day directories cost more in file
+listing and commits than they save in pruning).
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapledger.functions.columns import as_date
 from snapledger.model import DQ_SCHEMA, ENTITIES, LEDGER_SCHEMA, MART_SCHEMA, QUARANTINE_SCHEMA, Entity
@@ -30,6 +37,30 @@ from snapledger.sources import storage
 @dataclass(frozen=True)
 class Lake:
     root: str
+    event_partition: str = "day"
+
+    @property
+    def event_part_col(self) -> str:
+        return {"day": "transaction_date", "month": "transaction_month"}[self.event_partition]
+
+    def with_event_part(self, df: DataFrame) -> DataFrame:
+        if self.event_partition == "day":
+            return df
+        return df.withColumn("transaction_month", F.trunc("transaction_date", "month"))
+
+    def read_events(self, spark: SparkSession, path: str, schema, upto: dt.date | None = None) -> DataFrame | None:
+        """Typed read of a bronze/silver table; ``upto`` prunes partitions after that day."""
+        if self.event_partition == "day":
+            df = storage.read_table(spark, path, schema)
+            if df is not None and upto is not None:
+                df = df.filter(F.col("transaction_date") <= F.lit(upto))
+            return df
+        df = storage.read_table(spark, path, T.StructType([*schema.fields, T.StructField("transaction_month", T.DateType())]))
+        if df is None:
+            return None
+        if upto is not None:
+            df = df.filter(F.col("transaction_month") <= F.trunc(F.lit(upto), "month"))
+        return df.drop("transaction_month")
 
     def bronze(self, e: Entity) -> str:
         return f"{self.root}/bronze/{e.name}"
@@ -65,13 +96,18 @@ def ingest(lake: Lake, raw: DataFrame, entity: Entity, ingestion_at: dt.datetime
     rows = bronze.stamp_ingestion(bronze.typed_events(raw, entity), ingestion_at)
     rows = storage.staged(rows)  # one clock reading for both outputs
     valid, rejected = bronze.split_valid(rows, entity)
-    storage.append(valid, lake.bronze(entity), [entity.partition_col])
+    storage.append(lake.with_event_part(valid), lake.bronze(entity), [lake.event_part_col])
     storage.append(rejected, lake.rejects(entity), [])
 
 
+def read_bronze(spark: SparkSession, lake: Lake, entity: Entity) -> DataFrame:
+    df = lake.read_events(spark, lake.bronze(entity), entity.bronze_schema)
+    return df if df is not None else spark.createDataFrame([], entity.bronze_schema)
+
+
 def arrived(spark: SparkSession, lake: Lake, entity: Entity, day: str | dt.date) -> bool:
     """Arrival gate: did bronze receive any event of ``day``?"""
-    events = storage.read_table(spark, lake.bronze(entity), entity.bronze_schema)
+    events = lake.read_events(spark, lake.bronze(entity), entity.bronze_schema)
     return events is not None and bronze.has_partition(events, day)
 
 
@@ -92,26 +128,40 @@ def run_silver(
     partitions holding any changed row are rewritten in full (their untouched
     rows included) and every other partition is left as it is.
     """
-    events = storage.read_or_empty(spark, lake.bronze(entity), entity.bronze_schema)
-    current = storage.read_table(spark, lake.silver(entity), entity.silver_schema)
+    events = read_bronze(spark, lake, entity)
+    current = lake.read_events(spark, lake.silver(entity), entity.silver_schema)
+    mark = silver.high_water_mark(current)
+    merge_into_silver(spark, lake, entity, silver.incremental_slice(events, mark, overlap), line_created_at)
+
+
+def merge_into_silver(
+    spark: SparkSession,
+    lake: Lake,
+    entity: Entity,
+    increment: DataFrame,
+    line_created_at: dt.datetime | None = None,
+) -> None:
+    """Merge bronze rows into silver (batch runs and stream micro-batches alike)."""
+    current = lake.read_events(spark, lake.silver(entity), entity.silver_schema)
+    part = lake.event_part_col
     if current is None:
-        out = silver.build_silver(events, entity, line_created_at=line_created_at)
-        storage.replace_partitions(out, lake.silver(entity), [entity.partition_col])
+        out = lake.with_event_part(silver.build_silver(increment, entity, line_created_at=line_created_at))
+        storage.replace_partitions(storage.staged(out), lake.silver(entity), [part])
         return
-    mark = silver.high_water_mark(current)
-    increment = silver.incremental_slice(events, mark, overlap)
     changed, unchanged = silver.merge_increment(current, increment, entity, line_created_at)
-    touched_days = changed.select(entity.partition_col).distinct()
-    rewrite = changed.unionByName(unchanged.join(touched_days, entity.partition_col, "left_semi"))
+    changed, unchanged = lake.with_event_part(changed), lake.with_event_part(unchanged)
+    touched = changed.select(part).distinct()
+    rewrite = changed.unionByName(unchanged.join(touched, part, "left_semi"))
     # The rewrite reads the table it replaces: stage it first.
-    storage.replace_partitions(storage.staged(rewrite), lake.silver(entity), [entity.partition_col])
+    storage.replace_partitions(storage.staged(rewrite), lake.silver(entity), [part])
 
 
 # ------------------------------------------------------------------ gold
 
 
-def read_silver(spark: SparkSession, lake: Lake, entity: Entity) -> DataFrame:
-    return storage.read_or_empty(spark, lake.silver(entity), entity.silver_schema)
+def read_silver(spark: SparkSession, lake: Lake, entity: Entity, upto: dt.date | None = None) -> DataFrame:
+    df = lake.read_events(spark, lake.silver(entity), entity.silver_schema, upto)
+    return df if df is not None else spark.createDataFrame([], entity.silver_schema)
 
 
 def snapshot(
@@ -123,9 +173,8 @@ def snapshot(
 ) -> DataFrame:
     """The day's photo of paid purchases, from stored silver (not yet written)."""
     day = as_date(snapshot_date)
-    p = asof.as_of(read_silver(spark, lake, ENTITIES["purchase"]), ENTITIES["purchase"], day)
-    i = asof.as_of(read_silver(spark, lake, ENTITIES["product_item"]), ENTITIES["product_item"], day)
-    x = asof.as_of(read_silver(spark, lake, ENTITIES["purchase_extra_info"]), ENTITIES["purchase_extra_info"], day)
+    state = {n: asof.as_of(read_silver(spark, lake, e, upto=day), e, day) for n, e in ENTITIES.items()}
+    p, i, x = state["purchase"], state["product_item"], state["purchase_extra_info"]
     return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain)
 
 

@@ -13,9 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import uuid
+
 from snapledger.model import ENTITIES, EXTRA_INFO, PRODUCT_ITEM, PURCHASE, Entity
 from snapledger.operators import asof, bronze, gold, quality, reports, silver
+from snapledger.plans import daily
+from snapledger.session import scratch_path
 from snapledger.sources import testmap
+from snapledger.streaming.incremental import silver_stream
 
 # Fixed query parameters.
 REPORT_YEAR = 1997
@@ -231,6 +236,49 @@ def q_dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return quality.dq_metrics(_ledger(spark, sf), run_datetime=_stamp_after())
 
 
+# ---------------------------------------------------------------- storage runs
+
+
+def _deliveries(spark: SparkSession, sf: str, entity: Entity) -> tuple[DataFrame, DataFrame]:
+    """The entity's events split into two deliveries at BATCH_CUT (delivery stamps kept)."""
+    ev = testmap.events_for(spark, sf, entity.name)
+    cut = F.lit(BATCH_CUT).cast("timestamp_ntz")
+    return ev.filter(F.col("ingestion_date") <= cut), ev.filter(F.col("ingestion_date") > cut)
+
+
+def q_lake_gmv_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The full daily pipeline over Parquet storage, read back as the published mart.
+
+    Two bronze deliveries per entity (append), a first and an incremental
+    silver run (partition-scoped rewrite), gold for every snapshot day plus a
+    rerun of one day (one-partition overwrite each), then the mart view.
+    Storage lives in a fresh folder under the shared checkpoint folder.
+    """
+    # The test tables spread few rows over ~2,400 event days: month partitions.
+    lake = daily.Lake(scratch_path(spark, f"lake-{uuid.uuid4().hex}"), event_partition="month")
+    batches = {name: _deliveries(spark, sf, e) for name, e in ENTITIES.items()}
+    for step in (0, 1):
+        for name, e in ENTITIES.items():
+            daily.ingest(lake, batches[name][step], e, ingestion_at=F.col("ingestion_date"))
+            daily.run_silver(spark, lake, e, line_created_at=LINE_CREATED_AT)
+    for day in (*SNAPSHOT_DAYS, SNAPSHOT_DAYS[1]):
+        daily.run_gold(spark, lake, day, snapshot_stamp(day))
+    return daily.mart_view(spark, lake)
+
+
+def q_stream_silver_purchase(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchase silver maintained by an availableNow stream over two bronze deliveries."""
+    lake = daily.Lake(scratch_path(spark, f"stream-{uuid.uuid4().hex}"), event_partition="month")
+    checkpoint = f"{lake.root}/_checkpoints/silver_purchase"
+    for batch in _deliveries(spark, sf, PURCHASE):
+        daily.ingest(lake, batch, PURCHASE, ingestion_at=F.col("ingestion_date"))
+        q = silver_stream(spark, PURCHASE, lake, checkpoint, LINE_CREATED_AT)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return _no_clock(daily.read_silver(spark, lake, PURCHASE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_producers": q_top_producers,
     "top_products_per_producer": q_top_products_per_producer,
@@ -258,4 +306,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_backfill": q_snapshot_backfill,
     "quarantine_missing_items": q_quarantine_missing_items,
     "dq_metrics": q_dq_metrics,
+    "lake_gmv_daily": q_lake_gmv_daily,
+    "stream_silver_purchase": q_stream_silver_purchase,
 }

@@ -13,51 +13,37 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from snapledger.model import Entity
-from snapledger.operators import silver
-from snapledger.sources import storage
-
-
-def merge_batch(
-    spark: SparkSession, batch: DataFrame, entity: Entity, silver_path: str,
-    line_created_at: dt.datetime | None = None,
-) -> None:
-    """Merge one micro-batch of bronze rows into the silver table at ``silver_path``."""
-    current = storage.read_table(spark, silver_path, entity.silver_schema)
-    if current is None:
-        out = silver.build_silver(batch, entity, line_created_at=line_created_at)
-        storage.replace_partitions(storage.staged(out), silver_path, [entity.partition_col])
-        return
-    changed, unchanged = silver.merge_increment(current, batch, entity, line_created_at)
-    touched_days = changed.select(entity.partition_col).distinct()
-    rewrite = changed.unionByName(unchanged.join(touched_days, entity.partition_col, "left_semi"))
-    storage.replace_partitions(storage.staged(rewrite), silver_path, [entity.partition_col])
+from snapledger.plans import daily
 
 
 def silver_stream(
     spark: SparkSession,
     entity: Entity,
-    bronze_path: str,
-    silver_path: str,
+    lake: daily.Lake,
     checkpoint_path: str,
     line_created_at: dt.datetime | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the bronze -> silver stream.
+    """Start the bronze -> silver stream for ``entity`` in ``lake``.
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental job); otherwise the query keeps running.
     """
-    reader = spark.readStream.schema(entity.bronze_schema)
+    schema = entity.bronze_schema
+    if lake.event_part_col not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(lake.event_part_col, T.DateType())])
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    source = reader.parquet(bronze_path)
+    source = reader.parquet(lake.bronze(entity)).select(*entity.bronze_schema.fieldNames())
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
-        merge_batch(batch.sparkSession, batch, entity, silver_path, line_created_at)
+        daily.merge_into_silver(batch.sparkSession, lake, entity, batch, line_created_at)
 
     writer = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

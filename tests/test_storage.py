@@ -113,3 +113,15 @@ def test_merge_increment_splits_changed_and_unchanged(spark):
     changed, unchanged = silver.merge_increment(s1, inc, PURCHASE, STAMP)
     assert {r[0] for r in changed.select("purchase_id").collect()} == {69}
     assert unchanged.filter("purchase_id = 69").count() == 0
+
+
+def test_month_layout_gives_same_mart(spark, lake_root):
+    lake = daily.Lake(lake_root, event_partition="month")
+    _ingest_reference(spark, lake)
+    daily.run_day(spark, lake, "2023-03-31", STAMP, line_created_at=STAMP)
+    daily.run_gold(spark, lake, "2023-07-15", STAMP)
+    mart = daily.mart_view(spark, lake)
+    assert FX.mart_rows(mart.filter("is_current_snapshot")) == FX.GMV_BY_CUTOFF["2023-07-15"]
+    assert FX.mart_rows(mart.filter(F.col("snapshot_date") == F.lit(dt.date(2023, 3, 31)))) == \
+        FX.GMV_BY_CUTOFF["2023-03-31"]
+    assert sorted(os.listdir(lake.silver(PURCHASE)))[0].startswith("transaction_month=")
