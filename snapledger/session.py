@@ -34,6 +34,19 @@ RECOMMENDED_CONF = {
 }
 
 
+# Static settings (spark.ui.*) can only be set when the session is created.
+STATIC_CONF = {"spark.ui.enabled", "spark.ui.showConsoleProgress"}
+
+
+def apply_sql_conf(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings of :data:`RECOMMENDED_CONF` to a session
+    the package did not create (results do not depend on them; plans do)."""
+    for k, v in RECOMMENDED_CONF.items():
+        if k not in STATIC_CONF and spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "snapledger",

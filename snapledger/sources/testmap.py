@@ -40,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     for fact scans whose next step is map-side work before any shuffle.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (str(id(spark)), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     df = _READS[key]
