@@ -92,9 +92,13 @@ class Lake:
 
 
 def ingest(lake: Lake, raw: DataFrame, entity: Entity, ingestion_at: dt.datetime | Column | None = None) -> None:
-    """Type, stamp and append one delivery of events; invalid rows go to rejects."""
-    rows = bronze.stamp_ingestion(bronze.typed_events(raw, entity), ingestion_at)
-    rows = storage.staged(rows)  # one clock reading for both outputs
+    """Type, stamp and append one delivery of events; invalid rows go to rejects.
+
+    Without ``ingestion_at`` the delivery is stamped with one driver-side clock
+    reading, so both writes (valid rows, rejects) carry the same stamp.
+    """
+    at = dt.datetime.now() if ingestion_at is None else ingestion_at
+    rows = bronze.stamp_ingestion(bronze.typed_events(raw, entity), at)
     valid, rejected = bronze.split_valid(rows, entity)
     storage.append(lake.with_event_part(valid), lake.bronze(entity), [lake.event_part_col])
     storage.append(rejected, lake.rejects(entity), [])
@@ -146,7 +150,7 @@ def merge_into_silver(
     part = lake.event_part_col
     if current is None:
         out = lake.with_event_part(silver.build_silver(increment, entity, line_created_at=line_created_at))
-        storage.replace_partitions(storage.staged(out), lake.silver(entity), [part])
+        storage.replace_partitions(out, lake.silver(entity), [part])
         return
     changed, unchanged = silver.merge_increment(current, increment, entity, line_created_at)
     changed, unchanged = lake.with_event_part(changed), lake.with_event_part(unchanged)
@@ -178,10 +182,15 @@ def snapshot(
     return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain)
 
 
+def yesterday() -> dt.date:
+    """Default snapshot day of a daily run: D-1."""
+    return dt.date.today() - dt.timedelta(days=1)
+
+
 def run_gold(
     spark: SparkSession,
     lake: Lake,
-    snapshot_date: str | dt.date,
+    snapshot_date: str | dt.date | None = None,
     snapshot_datetime: dt.datetime | None = None,
     grain: str = "item",
 ) -> None:
@@ -190,7 +199,7 @@ def run_gold(
     Later outputs are computed from the photo as written (re-read), never
     from a lazy plan that would re-evaluate clocks or read replaced files.
     """
-    day = as_date(snapshot_date)
+    day = as_date(snapshot_date) if snapshot_date is not None else yesterday()
     stamp = snapshot_datetime or dt.datetime.now().replace(microsecond=0)
     photo = snapshot(spark, lake, day, stamp, grain)
     storage.replace_partitions(photo.sortWithinPartitions("transaction_date"), lake.ledger, ["snapshot_date"])
