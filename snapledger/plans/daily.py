@@ -177,9 +177,10 @@ def snapshot(
 ) -> DataFrame:
     """The day's photo of paid purchases, from stored silver (not yet written)."""
     day = as_date(snapshot_date)
-    state = {n: asof.as_of(read_silver(spark, lake, e, upto=day), e, day) for n, e in ENTITIES.items()}
+    rows = {n: read_silver(spark, lake, e, upto=day) for n, e in ENTITIES.items()}
+    state = {n: asof.as_of(rows[n], e, day) for n, e in ENTITIES.items()}
     p, i, x = state["purchase"], state["product_item"], state["purchase_extra_info"]
-    return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain)
+    return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain, item_events=rows["product_item"])
 
 
 def yesterday() -> dt.date:

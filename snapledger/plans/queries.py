@@ -71,7 +71,7 @@ def _snapshot(ev: dict[str, DataFrame], day: dt.date, grain: str = "item") -> Da
     p = asof.as_of(ev["purchase"], PURCHASE, day)
     i = asof.as_of(ev["product_item"], PRODUCT_ITEM, day)
     x = asof.as_of(ev["purchase_extra_info"], EXTRA_INFO, day)
-    return gold.purchase_snapshot(p, i, x, day, snapshot_stamp(day), grain=grain)
+    return gold.purchase_snapshot(p, i, x, day, snapshot_stamp(day), grain=grain, item_events=ev["product_item"])
 
 
 def _stamp_after(col: str = "snapshot_date"):
@@ -85,7 +85,8 @@ def _ledger_for(spark: SparkSession, sf: str, days, grain: str = "item") -> Data
     p = asof.as_of_many(ev["purchase"], PURCHASE, days)
     i = asof.as_of_many(ev["product_item"], PRODUCT_ITEM, days)
     x = asof.as_of_many(ev["purchase_extra_info"], EXTRA_INFO, days)
-    return gold.purchase_snapshot(p, i, x, snapshot_datetime=_stamp_after(), grain=grain)
+    return gold.purchase_snapshot(p, i, x, snapshot_datetime=_stamp_after(), grain=grain,
+                                  item_events=ev["product_item"])
 
 
 def _ledger(spark: SparkSession, sf: str, grain: str = "item") -> DataFrame:
