@@ -55,14 +55,13 @@ def salted_join(
     checked = broadcast_if_small(hot, MAX_HOT_KEYS)
     if checked is hot:  # too many hot keys: not a few-key skew
         return big.join(small, list(keys), how)
-    marks = checked.withColumn("_hot", F.lit(True))
-    big_s = big.join(marks, on, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
-        .otherwise(F.lit(0)),
-    ).drop("_hot")
-    small_s = small.join(marks, on, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
-    return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
+    # Cold keys keep the plain join (and any partitioning it can reuse); only
+    # rows of hot keys are salted. Both splits are map-side joins against the
+    # broadcast hot-key list.
+    cold = big.join(checked, on, "left_anti").join(small, list(keys), how)
+    big_hot = big.join(checked, on, "left_semi").withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
+    small_hot = small.join(checked, on, "left_semi").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    hot_part = big_hot.join(small_hot, [*keys, "_salt"], how).drop("_salt")
+    return cold.unionByName(hot_part)
