@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions.columns import desc_order, latest_per_key, status_from_release
+from snapledger.functions.skew import salted_join
 from snapledger.model import LEGACY_COLUMNS, Entity
 
 FLAG = "is_current_record"
@@ -88,18 +89,20 @@ def dedup_events(df: DataFrame, entity: Entity, delivery_col: str = "bronze_inge
     return latest_per_key(df, entity.event_key, _tie_break(df, entity, [delivery_col]))
 
 
-def mark_current(df: DataFrame, entity: Entity, flag: str = FLAG) -> DataFrame:
+def mark_current(df: DataFrame, entity: Entity, flag: str = FLAG, key_source: DataFrame | None = None) -> DataFrame:
     """Flag the latest event per business key, keeping every row.
 
     The latest event time per key is a partially aggregated ``max`` (a hot key
-    shrinks to one value per map task); it is joined back on the key, where
-    AQE splits an oversized partition of the large side. Rows keep one event
-    per (key, event time) after :func:`dedup_events`, so exactly one is current.
+    shrinks to one value per map task); it is joined back on the key with a
+    salted join, so a key holding a large share of all rows is spread over
+    several tasks. Rows keep one event per (key, event time) after
+    :func:`dedup_events`, so exactly one is current. ``key_source`` (the
+    rows before deduplication) is a cheaper input for finding hot keys.
     """
     key = list(entity.business_key)
     latest = df.groupBy(*key).agg(F.max("transaction_datetime").alias("_latest_dt"))
     return (
-        df.join(latest, key, "inner")
+        salted_join(df, latest, key, "inner", key_source=key_source)
         .withColumn(flag, F.coalesce(F.col("transaction_datetime") == F.col("_latest_dt"), F.lit(False)))
         .drop("_latest_dt")
     )
@@ -120,7 +123,7 @@ def enrich_from_current(
     if not wanted:
         return df
     current = purchase_silver.filter(F.col(FLAG)).select("purchase_id", *wanted)
-    return df.join(current, "purchase_id", "left")
+    return salted_join(df, current, ["purchase_id"], "left")
 
 
 def build_silver(
@@ -132,7 +135,8 @@ def build_silver(
     """Full silver table = flag(dedup(history ∪ prepare(increment)))."""
     ready = prepare_increment(bronze_increment, entity, line_created_at)
     union = union_history(history, ready)
-    return mark_current(dedup_events(union, entity), entity).select(*entity.silver_columns, "line_created_at", FLAG)
+    flagged = mark_current(dedup_events(union, entity), entity, key_source=union)
+    return flagged.select(*entity.silver_columns, "line_created_at", FLAG)
 
 
 def merge_increment(
@@ -153,7 +157,8 @@ def merge_increment(
     touched = ready.select(*key).distinct()
     history = silver.join(touched, key, "left_semi")
     unchanged = silver.join(touched, key, "left_anti")
-    changed = mark_current(dedup_events(union_history(history, ready), entity), entity)
+    rows = union_history(history, ready)
+    changed = mark_current(dedup_events(rows, entity), entity, key_source=rows)
     cols = [*entity.silver_columns, "line_created_at", FLAG]
     return changed.select(*cols), unchanged.select(*cols)
 
