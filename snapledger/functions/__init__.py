@@ -11,6 +11,7 @@ from snapledger.functions.columns import (
     status_from_release,
     year_bounds,
 )
+from snapledger.functions.skew import hot_keys, salted_join
 
 __all__ = [
     "broadcast_if_small",
@@ -22,4 +23,6 @@ __all__ = [
     "money_to_double",
     "status_from_release",
     "year_bounds",
+    "hot_keys",
+    "salted_join",
 ]
