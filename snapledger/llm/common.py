@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -41,6 +45,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers.
+
+    Does nothing where PYTHONPATH already names its folder (or the caller has
+    used ``--py-files``: a second copy does no harm).
+    """
+    package = Path(__file__).resolve().parent.parent
+    app = spark.sparkContext.applicationId
+    paths = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if app in _SHIPPED or str(package.parent) in paths:
+        return
+    out = Path(tempfile.mkdtemp(prefix="snapledger-")) / "snapledger.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(out))
+    _SHIPPED.add(app)
+
+
 def partitions_for(spark: SparkSession, total_bytes: int, per_partition: int) -> int:
     """A partition count that follows the input, at least the session's own."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // per_partition), 1)
@@ -51,6 +77,8 @@ def map_batches(
 ) -> DataFrame:
     """``mapInArrow`` whose input batches hold at most BATCH_ROWS rows."""
 
+    ship(df.sparkSession)
+
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut() -> Iterator[pa.RecordBatch]:
             for b in batches:

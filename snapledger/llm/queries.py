@@ -11,15 +11,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapledger.llm.common import read_table
+from snapledger.llm.fingerprints import neighbour_fingerprints
+from snapledger.llm.mixing import mix
+from snapledger.llm.pieces import encode_pieces
+from snapledger.llm.simhash import simhash_components
+from snapledger.llm.suffixes import remove_repeats
 from snapledger.llm.token_counts import token_counts
+from snapledger.llm.token_files import token_files
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(read_table(spark, sf_dir, "documents"))
+
+
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(read_table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_counts": op1_token_counts,
+    q.__name__: q for q in (
+        op1_token_counts, op3_source_mix, op4_fingerprints, op5_suffix_dedup, op6_token_files, op7_pieces, op8_simhash)
 }
 
 #: DuckDB SQL where SQL can express the operator.

@@ -24,7 +24,7 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 
 #: Pieces are counted once per worker and kept, up to this many; longer pieces
 #: than KEEP_CHARS are counted afresh each time.
-KEEP_PIECES = 1_500_000
+KEEP_PIECES = 1_000_000
 KEEP_CHARS = 64
 
 #: White space as the tokenizer's patterns see it.
