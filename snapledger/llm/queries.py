@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snapledger.llm.common import read_table
 from snapledger.llm.fingerprints import neighbour_fingerprints
+from snapledger.llm.html_text import main_texts
 from snapledger.llm.mixing import mix
+from snapledger.llm.neighbours import vector_links
 from snapledger.llm.pieces import encode_pieces
 from snapledger.llm.simhash import simhash_components
 from snapledger.llm.suffixes import remove_repeats
@@ -48,9 +50,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_token_counts, op3_source_mix, op4_fingerprints, op5_suffix_dedup, op6_token_files, op7_pieces, op8_simhash)
+        op1_token_counts, op3_source_mix, op4_fingerprints, op5_suffix_dedup, op6_token_files, op7_pieces, op8_simhash,
+        op9_html_text, op10_embedding_dedup)
 }
 
 #: DuckDB SQL where SQL can express the operator.
