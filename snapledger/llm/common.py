@@ -114,3 +114,21 @@ def bucket_of(key: Column, bounds: Sequence[int]) -> Column:
         return pd.Series(out)
 
     return find(key.cast("long"))
+
+
+def row_keyed(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """``docs`` with a column that numbers its rows in the order of ``key``, and its name.
+
+    The key itself where it is unique and never null; else the rows are sorted by
+    key (nulls last), numbered and written, so the numbers stay the same.
+    """
+    name = "__row"
+    while name in docs.columns:
+        name += "_"
+    ids = docs.select(F.col(key).cast("long").alias("key"))
+    total, known = ids.agg(F.count("*"), F.count("key")).first()
+    if total == known and ids.distinct().count() == total:
+        return docs.withColumn(name, F.col(key).cast("long")), name
+    place = F.col(key).cast("long").asc_nulls_last()
+    ordered = docs.repartitionByRange(place).sortWithinPartitions(place)
+    return written(ordered.withColumn(name, F.monotonically_increasing_id()), "rows"), name

@@ -10,12 +10,13 @@ seeded order once more.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import map_batches, written
@@ -28,6 +29,7 @@ SHARD_ROWS = 1 << 14
 MOST = 3
 SEED = 20
 WEIGHTS = (5.0, 2.0, 1.0)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def sainte_lague(population: np.ndarray, seats: int, most: np.ndarray | None = None) -> np.ndarray:
@@ -79,16 +81,38 @@ def targets(sizes: Sequence[float], weights: Sequence[float], most: float = MOST
     return out
 
 
+def chosen_blocks(words: int, blocks: int, quota: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word positions of a shard's block edges, and 1 for the blocks taken once more."""
+    cuts = np.arange(blocks + 1, dtype=np.int64) * words // blocks
+    order = np.random.default_rng(seed).permutation(blocks)
+    chosen = np.zeros(blocks, np.int64)
+    chosen[order[:quota % blocks]] = 1
+    return cuts, chosen
+
+
+def chosen_spans(sizes: np.ndarray, blocks: int, quota: int, seed: int) -> list[list[int]]:
+    """For each document of a shard the word ranges of the blocks taken once more: [from, to, from, to, ...]."""
+    ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1] or not blocks:
+        return [[] for _ in sizes]
+    cuts, chosen = chosen_blocks(int(ends[-1]), blocks, quota, seed)
+    edge = np.diff(np.concatenate([[0], chosen, [0]]))
+    lo, hi = cuts[np.flatnonzero(edge == 1)], cuts[np.flatnonzero(edge == -1)]
+    out = []
+    for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        i, j = np.searchsorted(hi, a, side="right"), np.searchsorted(lo, b)
+        part = np.stack([np.maximum(lo[i:j], a), np.minimum(hi[i:j], b)], 1) - a if b > a else np.empty((0, 2), np.int64)
+        out.append(part.ravel().tolist())
+    return out
+
+
 def taken_words(sizes: np.ndarray, blocks: int, quota: int, seed: int) -> np.ndarray:
     """Words taken of each document of one shard, in the shard's order."""
     ends = np.cumsum(sizes)
     words = int(ends[-1]) if len(ends) else 0
     if not words or not blocks:
         return np.zeros(len(sizes), np.int64)
-    cuts = np.arange(blocks + 1, dtype=np.int64) * words // blocks
-    order = np.random.default_rng(seed).permutation(blocks)
-    chosen = np.zeros(blocks, np.int64)
-    chosen[order[:quota % blocks]] = 1
+    cuts, chosen = chosen_blocks(words, blocks, quota, seed)
     before = np.concatenate([[0], np.cumsum(chosen * np.diff(cuts))])  # chosen words before each cut
 
     def upto(x: np.ndarray) -> np.ndarray:
@@ -113,13 +137,14 @@ def word_sizes(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
 
 def mix(
     docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: Sequence[float] = WEIGHTS,
-    seed: int = SEED, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
+    seed: int = SEED, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, with_spans: bool = False,
 ) -> DataFrame:
     """Words to take of every document so that sources reach their targets.
 
     Sources in code-point order (null, a source of its own, last) get
     ``weights`` in turn. Returns ``key, size, source_size, target, taken``, one
-    row per input row. A null text has size 0 and takes 0; repeated rows are
+    row per input row; ``with_spans`` adds how often the whole text is taken
+    (``times``) and the word ranges taken once more (``spans``: from, to, ...). A null text has size 0 and takes 0; repeated rows are
     rows of their own; a null key is kept; an empty table gives an empty result;
     other columns are not read. The result depends on the rows alone, so reruns
     agree.
@@ -168,9 +193,29 @@ def mix(
         pdf = pdf.sort_values(["nokey", "key", "size"])
         first = pdf.iloc[0]
         own = int.from_bytes(str((seed, first["name"], int(first["shard"]))).encode(), "little")
-        taken = taken_words(pdf["size"].to_numpy(np.int64), int(first["blocks"]), int(first["quota"]), own)
-        return pdf[["nokey", "key", "size", "source_size", "target"]].assign(taken=taken)
+        sizes, blocks, quota = pdf["size"].to_numpy(np.int64), int(first["blocks"]), int(first["quota"])
+        out = pdf[["nokey", "key", "size", "source_size", "target"]].assign(taken=taken_words(sizes, blocks, quota, own))
+        if with_spans:
+            out = out.assign(times=quota // blocks if blocks else 0, spans=chosen_spans(sizes, blocks, quota, own))
+        return out
 
     out = placed.join(quotas, ["name", "shard"]).groupBy("name", "shard").applyInPandas(
-        take, "nokey boolean, key long, size long, source_size long, target double, taken long")
-    return out.select(F.when(~F.col("nokey"), F.col("key")).alias(key), "size", "source_size", "target", "taken")
+        take, "nokey boolean, key long, size long, source_size long, target double, taken long" + (", times long, spans array<long>" if with_spans else ""))
+    return out.select(F.when(~F.col("nokey"), F.col("key")).alias(key), *out.columns[2:])
+
+
+def words_cut(text: Column, spans: Column) -> Column:
+    """The word ranges of a text, each as it stands in the text, joined by newlines."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
+        out = []
+        for t, r in zip(texts, ranges, strict=True):
+            if t is None or r is None or not len(r):
+                out.append("")
+                continue
+            at = [m.span() for m in WORD.finditer(t)]
+            out.append("\n".join(t[at[a][0]:at[b - 1][1]] for a, b in zip(r[::2], r[1::2], strict=True)))
+        return pd.Series(out, dtype=object)
+
+    return cut(text.cast("string"), spans)

@@ -15,7 +15,9 @@ import heapq
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -221,8 +223,9 @@ def encode_pieces(
                     pa.array([hashlib.sha256(r[2].encode()).hexdigest() for r in rows], pa.string())]
             names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                cols += [pa.array([[int(i) for i in r[1].split(",")] if r[1] else [] for r in rows], pa.list_(pa.int32())),
-                         pa.array([r[2] for r in rows], pa.string())]
+                ids = pc.cast(pc.split_pattern(pa.array([r[1] for r in rows if r[0]], pa.string()), ",").flatten(), pa.int32())
+                ends = np.concatenate([[0], np.cumsum([r[0] for r in rows])]).astype(np.int32)
+                cols += [pa.ListArray.from_arrays(ends, ids), pa.array([r[2] for r in rows], pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names)
 

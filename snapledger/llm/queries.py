@@ -16,6 +16,7 @@ from snapledger.llm.html_text import main_texts
 from snapledger.llm.mixing import mix
 from snapledger.llm.neighbours import vector_links
 from snapledger.llm.pieces import encode_pieces
+from snapledger.llm.quality import quality
 from snapledger.llm.simhash import simhash_components
 from snapledger.llm.suffixes import remove_repeats
 from snapledger.llm.token_counts import token_counts
@@ -26,6 +27,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"))
 
@@ -60,7 +65,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_token_counts, op3_source_mix, op4_fingerprints, op5_suffix_dedup, op6_token_files, op7_pieces, op8_simhash,
+        op1_token_counts, op2_quality, op3_source_mix, op4_fingerprints, op5_suffix_dedup, op6_token_files, op7_pieces, op8_simhash,
         op9_html_text, op10_embedding_dedup)
 }
 

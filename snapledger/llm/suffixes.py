@@ -23,12 +23,13 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapledger.llm.common import map_batches, partitions_for, written
 
@@ -373,7 +374,7 @@ def spans_of(p: np.ndarray, count: np.ndarray, depth: int) -> tuple[np.ndarray,
 
 
 def cut_texts(batches: Iterator[pa.RecordBatch], depth: int, with_text: bool) -> Iterator[pa.RecordBatch]:
-    """The texts of one bucket without their removed spans."""
+    """The texts of one bucket without their removed spans; columns after the packs' go along."""
     packs: list[bytes] = []
     cols: list[np.ndarray] | None = None
     for b in batches:
@@ -399,8 +400,10 @@ def cut_texts(batches: Iterator[pa.RecordBatch], depth: int, with_text: bool) ->
             out.append((*row, data.decode("utf-8", "ignore")) if with_text else row)
         if out:
             kinds = [pa.int64()] * 5 + [pa.string()] * (2 if with_text else 1)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                                             ["key", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:len(kinds)])
+            own = b.filter(b.column(5).is_null())
+            names = ["key", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:len(kinds)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)), *own.columns[6:]],
+                                             [*names, *b.schema.names[6:]])
 
 
 def prime_from(n: int) -> int:
@@ -412,7 +415,8 @@ def prime_from(n: int) -> int:
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, gram: int = GRAM, with_text: bool = True
+    docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, gram: int = GRAM, with_text: bool = True,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every text without the bytes covered by a ``depth``-byte string that also
     starts earlier (smaller key, or same document and earlier start).
@@ -422,11 +426,14 @@ def remove_repeats(
     left out). A null text counts as empty; texts shorter than ``depth`` stay as
     they are. Rows that share a key, and rows without one (they come last), are
     documents of their own, in the order of a number given when they are first
-    read. An empty table gives an empty result; other columns are not read.
+    read. An empty table gives an empty result. The columns named in ``carry``
+    are returned as ``carry_0``, ``carry_1``, ...; others are not read.
     """
     spark = docs.sparkSession
+    along = [f"carry_{i}" for i in range(len(carry))]
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(key).isNull().alias("nokey"),
-                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+                       *(F.col(f"`{c}`").alias(a) for c, a in zip(carry, along, strict=True)))
     total, n = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     if rows.where("NOT nokey").select("key").distinct().count() == n:
         rows = rows.withColumn("tie", F.lit(0).cast("long"))
@@ -439,17 +446,20 @@ def remove_repeats(
     runs = map_batches(texts, lambda it: digits_of(it, digits, depth, gram), PACKED)
     found = written(runs.repartitionById(digits, "to").mapInArrow(lambda it: repeated_runs(it, buckets), PACKED), "suffix-runs")
 
-    def beside_texts(packs: DataFrame) -> DataFrame:
+    def beside_texts(packs: DataFrame, more: Sequence[str] = ()) -> DataFrame:
         """Texts dealt to buckets by key, each bucket's packs before them."""
-        own = texts.withColumn("to", F.pmod(F.col("key").bitwiseXOR(F.col("tie")), F.lit(buckets)).cast("int"))
-        none = own.select("to", "key", "tie", "text", F.lit(1).alias("late"), F.lit(None).cast("binary").alias("raw"))
+        own = rows.select("key", "tie", "text", *more).withColumn("to", F.pmod(F.col("key").bitwiseXOR(F.col("tie")), F.lit(buckets)).cast("int"))
+        none = own.select("to", "key", "tie", "text", F.lit(1).alias("late"), F.lit(None).cast("binary").alias("raw"), *more)
         head = packs.select("to", F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("tie"),
-                            F.lit("").alias("text"), F.lit(0).alias("late"), "raw")
+                            F.lit("").alias("text"), F.lit(0).alias("late"), "raw",
+                            *(F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in more))
         return head.union(none).repartitionById(buckets, "to").sortWithinPartitions("late")
 
     spans = map_batches(beside_texts(found.where(f"kind = {FETCH}")), lambda it: fetched(it, digits, depth), PACKED)
     more = written(spans.repartitionById(digits, "to").mapInArrow(lambda it: ordered_spans(it, buckets, depth), PACKED), "suffix-spans")
     removed = found.where(f"kind = {REMOVED}").union(more)
     schema = "key long, tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else "")
-    out = map_batches(beside_texts(removed), lambda it: cut_texts(it, depth, with_text), schema)
+    types = T._parse_datatype_string(schema)
+    types = T.StructType([*types.fields, *(T.StructField(c, rows.schema[c].dataType) for c in along)])
+    out = map_batches(beside_texts(removed, along), lambda it: cut_texts(it, depth, with_text), types)
     return out.select(F.when(F.col("key") < NO_KEY, F.col("key")).alias(key), *out.columns[2:])
