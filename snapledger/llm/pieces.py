@@ -65,10 +65,16 @@ class PieceTable(dict):
         self.ends.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
+        #: Place in the order of merges; characters come before all merges.
+        self.rank = dict.fromkeys(plain, -1)
+        for place, i in enumerate(sorted((i for i in plain if len(self.piece[i]) > 1), key=lambda i: -self.score[i])):
+            self.rank[i] = place
+        self.half: dict[int, tuple[int, int]] = {}
         self.runs: dict[int, list[int]] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """The symbols left when no adjacent pair forms an entry: best score, then leftmost, first."""
+    def merged(self, text: str, trace: list[tuple[str, str]] | None = None) -> list[str]:
+        """The symbols left when no adjacent pair forms an entry: best score, then
+        leftmost, first. ``trace`` gets the merges made."""
         sym: list[str] = list(text)
         n = len(sym)
         after, before = [*range(1, n), -1], list(range(-1, n - 1))
@@ -86,6 +92,8 @@ class PieceTable(dict):
             j = after[i]
             if not sym[i] or j < 0 or sym[i] + sym[j] != both:
                 continue
+            if trace is not None:
+                trace.append((sym[i], sym[j]))
             sym[i], sym[j] = both, ""
             after[i] = after[j]
             if after[i] >= 0:
@@ -99,10 +107,34 @@ class PieceTable(dict):
         pair = a << 32 | b
         ok = self.pairs.get(pair)
         if ok is None:
-            x, y = self.piece[a], self.piece[b]
-            ok = self.pairs[pair] = self.merged(x + y) == [x, y]
+            ok = self.pairs[pair] = self.apart(a, b)
         return ok
 
+    def apart(self, a: int, b: int) -> bool:
+        """Whether no merge over the border of ``a`` and ``b`` comes before the merges
+        that make them: going back in time, the one made last is split again."""
+        limit = len(self.piece)
+        while True:
+            over = self.ids.get(self.piece[a] + self.piece[b])
+            if over is not None and self.rank[over] < limit:
+                return False
+            x, y = self.rank[a], self.rank[b]
+            if x < 0 and y < 0:
+                return True
+            if x > y:
+                limit, a = x, self.halves(a)[1]
+            else:  # of two equal merges the left one comes first
+                limit, b = y + 1, self.halves(b)[0]
+
+    def halves(self, a: int) -> tuple[int, int]:
+        """The two entries whose merge makes entry ``a``."""
+        got = self.half.get(a)
+        if got is None:
+            trace: list[tuple[str, str]] = []
+            self.merged(self.piece[a], trace)
+            got = self.half[a] = (self.ids[trace[-1][0]], self.ids[trace[-1][1]])
+        return got
+
     def stands(self, a: int) -> bool:
         """Whether merging the text of ``a`` gives ``a`` itself."""
         ok = self.whole.get(a)
@@ -115,7 +147,7 @@ class PieceTable(dict):
         last: list[tuple[int, int]] = [(-1, 0)] * len(text)
         for end, (i, n) in self.ends.iter(text):
             start = end - n + 1
-            if last[end][1] == 0 and (self.stands(i) if start == 0 else last[start - 1][1] and self.may_follow(last[start - 1][0], i)):
+            if last[end][1] == 0 and self.stands(i) and (start == 0 or last[start - 1][1] and self.may_follow(last[start - 1][0], i)):
                 last[end] = (i, n)
         out, at = [], len(text) - 1
         while at >= 0:
