@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import map_batches
 
 #: Rated texts that the model is fitted on, at most.
-SAMPLE = 8192
+SAMPLE = 6000
 #: Texts that a feature must be in, and its score against chance.
 LEAST_TEXTS = 4
 SCORE = 5.0
@@ -48,7 +48,7 @@ RUNS = re.compile(r"(.)\1+")
 
 
 def hashed(s: str) -> int:
-    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh32_intdigest(s.encode("utf-8", "surrogatepass"))
 
 
 def shape(word: str) -> str:
@@ -124,14 +124,20 @@ class OrdinalModel:
         return [1.0 / (1.0 + math.exp(min(60.0, max(-60.0, t - x)))) for t in self.thresholds]
 
 
-def fit(texts: list[set[int]], grades: list[int], top: int) -> OrdinalModel:
-    """Fit on feature sets and their grades 0..top."""
+def packed(text: str) -> np.ndarray:
+    """The features of a text in ascending order, four bytes each."""
+    found = features(text)
+    return np.sort(np.fromiter(found, np.uint32, len(found)))
+
+
+def fit(texts: list[np.ndarray], grades: list[int], top: int) -> OrdinalModel:
+    """Fit on the texts' features and their grades 0..top."""
     y = np.array(grades, np.int64)
     if len(set(grades)) < 2:
         low = 20.0 if not grades or grades[0] < top else -20.0
         return OrdinalModel({}, tuple([-20.0 if not grades else low] * top))
-    ids, where = np.unique(np.fromiter((f for t in texts for f in t), np.uint64), return_inverse=True)
-    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    ids, where = np.unique(np.concatenate(texts), return_inverse=True)
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
     df = np.bincount(where)
     keep = np.zeros(len(ids), bool)
     for g in range(top + 1):
@@ -193,11 +199,11 @@ def fit_on(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [np.array(sorted(features(t or "")), "<u8").tobytes() for t in b.column(2).to_pylist()]
+            got = [packed(t or "").astype("<u4").tobytes() for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], ["key", "grade", "features"])
 
     got = sorted((r["key"], r["grade"], bytes(r["features"])) for r in map_batches(own, extract, "key long, grade int, features binary").collect())
-    return fit([set(np.frombuffer(f, "<u8").tolist()) for _, _, f in got], [g for _, g, _ in got], top)
+    return fit([np.frombuffer(f, "<u4") for _, _, f in got], [g for _, g, _ in got], top)
 
 
 def graded(text: Column, model: OrdinalModel) -> Column:
