@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapledger.model import STATUS_PAID, STATUS_UNPAID
@@ -62,26 +62,28 @@ def year_bounds(year: int) -> tuple[dt.date, dt.date]:
     return dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
 
 
-def as_date(d: str | dt.date) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
+def ntz(value: Column | str | dt.datetime) -> Column:
+    """A wall-clock literal without a zone.
 
+    ``F.lit`` reads a naive datetime in the driver's own zone and would shift it
+    by that zone's offset; the text form has no zone to be read in.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")
 
-_SIZE_CHECKS: dict[tuple[str, str], bool] = {}
 
+def stamp(value: Column | str | dt.datetime | None) -> Column:
+    """``value`` as a wall-clock column; the session's clock when it is None."""
+    return F.localtimestamp() if value is None else ntz(value)
 
-def broadcast_if_small(df: DataFrame, max_rows: int, cache_key: str | None = None) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned unchanged and Spark plans a shuffle join (or AQE decides from
-    measured sizes). ``cache_key`` names an immutable input (e.g. a dimension
-    table path) whose check result is reused within the application.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, cache_key) if cache_key else None
-    if key is not None and key in _SIZE_CHECKS:
-        small = _SIZE_CHECKS[key]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _SIZE_CHECKS[key] = small
-    return F.broadcast(df) if small else df
+def session_clock(spark: SparkSession) -> dt.datetime:
+    """One reading of the session's wall clock (the session time zone, not the driver's)."""
+    return spark.range(1).select(F.localtimestamp().alias("t")).first()["t"]
+
+
+def as_date(d: str | dt.date) -> dt.date:
+    return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)

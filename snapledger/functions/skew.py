@@ -7,21 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.functions.columns import broadcast_if_small
+# Rows of one key that one task is meant to join; tunable per session. A key
+# with more is split into as many parts as its own row count asks for.
+KEY_ROWS_CONF = "snapledger.skew.keyRows"
+KEY_ROWS = 2_000_000
 
-# A key with more rows than this is split; tunable per session.
-HOT_KEY_ROWS_CONF = "snapledger.skew.hotKeyRows"
-HOT_KEY_ROWS = 2_000_000
-SALT_BUCKETS_CONF = "snapledger.skew.saltBuckets"
-SALT_BUCKETS = 64
-# At most this many hot keys are broadcast; more means the data is not skewed
-# on a few keys, and the plain shuffle join is used.
-MAX_HOT_KEYS = 100_000
 
+def hot_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame:
+    """Keys with more than ``key_rows`` rows, and the parts each is split into.
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (a partially aggregated count)."""
-    return df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
+    A partially aggregated count; at most rows / ``key_rows`` keys come out.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > key_rows)
+    return counted.select(*keys, F.ceil(F.col("_n") / key_rows).cast("int").alias("_parts"))
 
 
 def salted_join(
@@ -34,34 +32,26 @@ def salted_join(
 ) -> DataFrame:
     """``big`` join ``small`` on ``keys``, where ``small`` has at most one row per key.
 
-    Rows of a hot key of ``big`` are spread over salt buckets by a hash of the
-    whole row (deterministic, so task retries reproduce it); the single
-    matching ``small`` row is replicated to every bucket, so each ``big`` row
-    still meets it exactly once and no row is dropped or duplicated. Other
-    keys keep salt 0. At most rows(big) / hot_rows keys can be hot; the hot-key
-    list is broadcast after a row-count check, and beyond ``MAX_HOT_KEYS`` the
-    plain join is used. ``how`` is "inner" or "left" (``big`` preserved).
+    One plan without a job while it is built: the hot keys with their part
+    counts (at most rows / ``key_rows`` rows of two numbers, hence broadcast)
+    give every ``big`` row of a hot key a part by a hash of the whole row
+    (deterministic, so retries agree), and every ``small`` row of a hot key one
+    copy per part. Other keys have the one part 0. Each ``big`` row meets its
+    ``small`` row exactly once. ``how`` is "inner" or "left" (``big`` preserved).
 
     ``hot_on`` (a prefix of ``keys``) and ``key_source`` let the hot keys be
-    found on a cheaper input whose row count per key bounds that of ``big``
-    (e.g. the raw events behind an as-of state): salting a key that turns
+    counted on a cheaper input whose row count per key bounds that of ``big``
+    (e.g. the raw events behind an as-of state): splitting a key that turns
     out not to be hot is harmless.
     """
-    spark = big.sparkSession
-    hot_rows = int(spark.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS)))
-    buckets = int(spark.conf.get(SALT_BUCKETS_CONF, str(SALT_BUCKETS)))
+    key_rows = int(big.sparkSession.conf.get(KEY_ROWS_CONF, str(KEY_ROWS)))
     on = list(hot_on or keys)
-    hot = hot_keys((key_source if key_source is not None else big).select(*on), on, hot_rows)
-    checked = broadcast_if_small(hot, MAX_HOT_KEYS)
-    if checked is hot:  # too many hot keys: not a few-key skew
-        return big.join(small, list(keys), how)
-    # Cold keys keep the plain join (and any partitioning it can reuse); only
-    # rows of hot keys are salted. Both splits are map-side joins against the
-    # broadcast hot-key list.
-    cold = big.join(checked, on, "left_anti").join(small, list(keys), how)
-    big_hot = big.join(checked, on, "left_semi").withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
-    small_hot = small.join(checked, on, "left_semi").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    hot_part = big_hot.join(small_hot, [*keys, "_salt"], how).drop("_salt")
-    return cold.unionByName(hot_part)
+    hot = F.broadcast(hot_keys((key_source if key_source is not None else big).select(*on), on, key_rows))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    spread = big.join(hot, on, "left").withColumn(
+        "_part", F.when(parts > 1, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), parts)).otherwise(0).cast("int"))
+    copies = small.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    # ``small`` may come hash-partitioned on the keys alone; joining in that layout
+    # would bring the parts together again, so it is dealt by key and part.
+    dealt = copies.drop("_parts").repartition(*keys, "_part")
+    return spread.drop("_parts").join(dealt, [*keys, "_part"], how).drop("_part")

@@ -19,9 +19,6 @@ UNKNOWN_SUBSIDIARY = "UNKNOWN"
 TS = T.TimestampNTZType()
 MONEY = T.DecimalType(18, 2)
 
-# Bookkeeping columns of older silver/gold layouts that are dropped before a union.
-LEGACY_COLUMNS = ("rn", "rk", "is_latest", "current_snapshot")
-
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
@@ -115,6 +112,7 @@ EXTRA_INFO = Entity(
 
 ENTITIES = {e.name: e for e in (PURCHASE, PRODUCT_ITEM, EXTRA_INFO)}
 
+# Fixed values of the data contract: the columns of the ledger, quarantine, metrics and mart tables.
 # Gold ledger: one row per (purchase, product) per snapshot day ("item" grain);
 # the "purchase" grain keeps one product per purchase like the original ledger.
 LEDGER_SCHEMA = _schema(
@@ -169,20 +167,3 @@ MART_SCHEMA = _schema(
     ("gmv_value", T.DoubleType()),
     ("transaction_count", T.LongType()),
 )
-
-# Inputs of the two ad-hoc revenue reports.
-REPORT_PURCHASE_SCHEMA = _schema(
-    ("purchase_id", T.LongType()),
-    ("producer_id", T.LongType()),
-    ("prod_item_id", T.LongType()),
-    ("prod_item_partition", T.LongType()),
-    ("order_date", T.DateType()),
-    ("release_date", T.DateType()),
-)
-REPORT_ITEM_SCHEMA = _schema(
-    ("prod_item_id", T.LongType()),
-    ("prod_item_partition", T.LongType()),
-    ("product_id", T.LongType()),
-    ("purchase_value", MONEY),
-    ("item_quantity", T.IntegerType()),
-)

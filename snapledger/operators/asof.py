@@ -12,15 +12,10 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.functions.columns import as_date, desc_order, latest_per_key
+from snapledger.functions.columns import as_date, desc_order, latest_per_key, ntz
 from snapledger.model import Entity
 from snapledger.operators.silver import FLAG, prepare_increment
 
-# Upper bound on the number of days one as_of_many call may ask for; the date
-# list is inlined into the plan as a literal array, so it must stay small.
-MAX_SNAPSHOT_DAYS = 20_000
-
-
 def _state_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (FLAG, "line_created_at")]
 
@@ -63,7 +58,7 @@ def as_of_known_by(
     Starts from bronze (every delivery), because the delivery-time filter
     must come before deduplication; the ranked as-of pass then deduplicates.
     """
-    delivered = bronze.filter(F.col("ingestion_date") <= F.lit(known_by).cast("timestamp_ntz"))
+    delivered = bronze.filter(F.col("ingestion_date") <= ntz(known_by))
     return as_of(prepare_increment(delivered, entity, F.lit(None).cast("timestamp_ntz")), entity, cutoff)
 
 
@@ -122,8 +117,6 @@ def as_of_many(silver: DataFrame, entity: Entity, dates: Iterable[str | dt.date]
     the answer and no join or broadcast is involved.
     """
     days = sorted({as_date(d) for d in dates})
-    if len(days) > MAX_SNAPSHOT_DAYS:
-        raise ValueError(f"{len(days)} snapshot days requested; at most {MAX_SNAPSHOT_DAYS} per call")
     if not days:
         raise ValueError("no snapshot days given")
     grid = F.array(*[F.lit(d) for d in days])
@@ -138,16 +131,10 @@ def as_of_many(silver: DataFrame, entity: Entity, dates: Iterable[str | dt.date]
     )
 
 
-def with_snapshot_date(asof_state: DataFrame, snapshot_date: str | dt.date) -> DataFrame:
-    """Tag a single-day as-of state with its snapshot day."""
-    return asof_state.withColumn("snapshot_date", F.lit(as_date(snapshot_date)))
-
-
 __all__: Sequence[str] = [
     "as_of",
     "as_of_known_by",
     "as_of_many",
     "snapshot_grid",
     "validity_intervals",
-    "with_snapshot_date",
 ]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.functions.columns import as_date
+from snapledger.functions.columns import as_date, stamp
 from snapledger.model import Entity
 
 
@@ -29,17 +29,11 @@ def typed_events(raw: DataFrame, entity: Entity) -> DataFrame:
 
 def stamp_ingestion(df: DataFrame, at: Column | dt.datetime | None = None) -> DataFrame:
     """Set ``ingestion_date`` (the delivery time) – the clock unless ``at`` is given."""
-    if at is None:
-        stamp = F.localtimestamp()
-    elif isinstance(at, Column):
-        stamp = at
-    else:
-        stamp = F.lit(at).cast("timestamp_ntz")
-    return df.withColumn("ingestion_date", stamp)
+    return df.withColumn("ingestion_date", stamp(at))
 
 
-def split_valid(df: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) events.
+def is_valid(entity: Entity) -> Column:
+    """Whether an event keeps the bronze rules.
 
     A valid event has every event-key column and a partition day equal to the
     day of its event time. The second rule keeps all deliveries of one event
@@ -49,7 +43,12 @@ def split_valid(df: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
     ok = F.lit(True)
     for c in entity.event_key:
         ok = ok & F.col(c).isNotNull()
-    ok = ok & F.coalesce(F.col(entity.partition_col) == F.to_date("transaction_datetime"), F.lit(False))
+    return ok & F.coalesce(F.col(entity.partition_col) == F.to_date("transaction_datetime"), F.lit(False))
+
+
+def split_valid(df: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) events by :func:`is_valid`; :func:`reject_report` counts both."""
+    ok = is_valid(entity)
     return df.filter(ok), df.filter(~ok)
 
 
@@ -67,22 +66,30 @@ def arrival_report(tables: dict[str, DataFrame], col: str = "transaction_date")
     number of days it spans.
     """
     counts = None
-    spans = None
     for name, df in tables.items():
         c = df.groupBy(F.col(col).alias("transaction_date")).agg(F.count(F.lit(1)).alias("events"))
         c = c.withColumn("table_name", F.lit(name))
-        s = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).withColumn("table_name", F.lit(name))
         counts = c if counts is None else counts.unionByName(c)
-        spans = s if spans is None else spans.unionByName(s)
-    calendar = spans.filter(F.col("lo").isNotNull()).select(
-        "table_name", F.explode(F.sequence("lo", "hi")).alias("transaction_date")
-    )
-    return (
-        calendar.join(counts, ["table_name", "transaction_date"], "left")
-        .select(
-            "table_name",
-            "transaction_date",
-            F.coalesce(F.col("events"), F.lit(0)).cast("long").alias("events"),
-            F.col("events").isNotNull().alias("has_data"),
-        )
+    # Each day with events also stands for the empty days up to the next one:
+    # the tables are read once, and the window sees one row per table and day.
+    following = F.lead("transaction_date").over(Window.partitionBy("table_name").orderBy("transaction_date"))
+    days = counts.where(F.col("transaction_date").isNotNull()).withColumn("following", following)
+    gap = F.sequence("transaction_date", F.coalesce(F.date_sub("following", 1), F.col("transaction_date")))
+    every = days.select("table_name", "events", F.posexplode(gap).alias("empty_days", "transaction_date"))
+    return every.select(
+        "table_name",
+        "transaction_date",
+        F.when(F.col("empty_days") == 0, F.col("events")).otherwise(0).cast("long").alias("events"),
+        (F.col("empty_days") == 0).alias("has_data"),
     )
+
+
+def reject_report(tables: dict[str, DataFrame], entities: dict[str, Entity]) -> DataFrame:
+    """Per table: events that pass the bronze rules and events that are rejected."""
+    out = None
+    for name, df in tables.items():
+        ok = is_valid(entities[name])
+        c = df.agg(F.count(F.when(ok, 1)).alias("valid_events"), F.count(F.when(~ok, 1)).alias("rejected_events"))
+        c = c.select(F.lit(name).alias("table_name"), "valid_events", "rejected_events")
+        out = c if out is None else out.unionByName(c)
+    return out

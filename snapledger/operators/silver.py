@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.functions.columns import desc_order, latest_per_key, status_from_release
+from snapledger.functions.columns import desc_order, latest_per_key, ntz, stamp, status_from_release
 from snapledger.functions.skew import salted_join
-from snapledger.model import LEGACY_COLUMNS, Entity
+from snapledger.model import Entity
 
 FLAG = "is_current_record"
 
@@ -38,7 +38,7 @@ def incremental_slice(
     if mark is None:
         return bronze
     since = mark - overlap if overlap else mark
-    return bronze.filter(F.col("ingestion_date") > F.lit(since))
+    return bronze.filter(F.col("ingestion_date") > ntz(since))
 
 
 def prepare_increment(
@@ -48,25 +48,17 @@ def prepare_increment(
     out = increment
     if entity.has_status:
         out = out.withColumn("transaction_status", status_from_release("release_date"))
-    if line_created_at is None:
-        stamp = F.localtimestamp()
-    elif isinstance(line_created_at, Column):
-        stamp = line_created_at
-    else:
-        stamp = F.lit(line_created_at).cast("timestamp_ntz")
-    return out.withColumn("line_created_at", stamp).withColumnRenamed("ingestion_date", "bronze_ingestion_date")
+    return out.withColumn("line_created_at", stamp(line_created_at)).withColumnRenamed("ingestion_date", "bronze_ingestion_date")
 
 
 def union_history(history: DataFrame | None, increment: DataFrame) -> DataFrame:
     """History ∪ increment by column name; columns missing on one side become NULL.
 
-    The current flag and legacy bookkeeping columns are dropped from history
-    first: they are recomputed, and a strict union would fail on them.
+    The current flag is dropped from history first: it is recomputed.
     """
     if history is None:
         return increment
-    drop = [c for c in (FLAG, *LEGACY_COLUMNS) if c in history.columns]
-    return history.drop(*drop).unionByName(increment, allowMissingColumns=True)
+    return history.drop(FLAG).unionByName(increment, allowMissingColumns=True)
 
 
 def _tie_break(df: DataFrame, entity: Entity, first: Sequence[str]) -> list[Column]:
@@ -96,13 +88,14 @@ def mark_current(df: DataFrame, entity: Entity, flag: str = FLAG, key_source: Da
     shrinks to one value per map task); it is joined back on the key with a
     salted join, so a key holding a large share of all rows is spread over
     several tasks. Rows keep one event per (key, event time) after
-    :func:`dedup_events`, so exactly one is current. ``key_source`` (the
-    rows before deduplication) is a cheaper input for finding hot keys.
+    :func:`dedup_events`, so exactly one is current; rows with a null key are
+    kept and never current. ``key_source`` (the rows before deduplication) is a
+    cheaper input for finding hot keys.
     """
     key = list(entity.business_key)
     latest = df.groupBy(*key).agg(F.max("transaction_datetime").alias("_latest_dt"))
     return (
-        salted_join(df, latest, key, "inner", key_source=key_source)
+        salted_join(df, latest, key, "left", key_source=key_source)
         .withColumn(flag, F.coalesce(F.col("transaction_datetime") == F.col("_latest_dt"), F.lit(False)))
         .drop("_latest_dt")
     )

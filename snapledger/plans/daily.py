@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.functions.columns import as_date
+from snapledger.functions.columns import as_date, session_clock
 from snapledger.model import DQ_SCHEMA, ENTITIES, LEDGER_SCHEMA, MART_SCHEMA, QUARANTINE_SCHEMA, Entity
 from snapledger.operators import asof, bronze, gold, quality, silver
 from snapledger.sources import storage
@@ -38,6 +38,8 @@ from snapledger.sources import storage
 class Lake:
     root: str
     event_partition: str = "day"
+    #: ("snapshot_date", "transaction_date") gives a folder per event day inside each photo.
+    ledger_partition: tuple[str, ...] = ("snapshot_date",)
 
     @property
     def event_part_col(self) -> str:
@@ -94,10 +96,10 @@ class Lake:
 def ingest(lake: Lake, raw: DataFrame, entity: Entity, ingestion_at: dt.datetime | Column | None = None) -> None:
     """Type, stamp and append one delivery of events; invalid rows go to rejects.
 
-    Without ``ingestion_at`` the delivery is stamped with one driver-side clock
-    reading, so both writes (valid rows, rejects) carry the same stamp.
+    Without ``ingestion_at`` the delivery is stamped with one reading of the
+    session's clock, so both writes (valid rows, rejects) carry the same stamp.
     """
-    at = dt.datetime.now() if ingestion_at is None else ingestion_at
+    at = session_clock(raw.sparkSession) if ingestion_at is None else ingestion_at
     rows = bronze.stamp_ingestion(bronze.typed_events(raw, entity), at)
     valid, rejected = bronze.split_valid(rows, entity)
     storage.append(lake.with_event_part(valid), lake.bronze(entity), [lake.event_part_col])
@@ -183,9 +185,9 @@ def snapshot(
     return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain, item_events=rows["product_item"])
 
 
-def yesterday() -> dt.date:
-    """Default snapshot day of a daily run: D-1."""
-    return dt.date.today() - dt.timedelta(days=1)
+def yesterday(spark: SparkSession) -> dt.date:
+    """Default snapshot day of a daily run: D-1 by the session's clock."""
+    return session_clock(spark).date() - dt.timedelta(days=1)
 
 
 def run_gold(
@@ -197,17 +199,19 @@ def run_gold(
 ) -> None:
     """Write the day's ledger photo, then its mart, quarantine and DQ partitions.
 
-    Later outputs are computed from the photo as written (re-read), never
+    A rerun replaces the whole day, also when its new result is empty; every
+    run leaves one metrics row. Later outputs are computed from the photo as written (re-read), never
     from a lazy plan that would re-evaluate clocks or read replaced files.
     """
-    day = as_date(snapshot_date) if snapshot_date is not None else yesterday()
-    stamp = snapshot_datetime or dt.datetime.now().replace(microsecond=0)
+    day = as_date(snapshot_date) if snapshot_date is not None else yesterday(spark)
+    stamp = snapshot_datetime or session_clock(spark).replace(microsecond=0)
     photo = snapshot(spark, lake, day, stamp, grain)
-    storage.replace_partitions(photo.sortWithinPartitions("transaction_date"), lake.ledger, ["snapshot_date"])
+    storage.replace_partitions(photo, lake.ledger, lake.ledger_partition, [day], ["transaction_date"])
     written = read_ledger(spark, lake).filter(F.col("snapshot_date") == F.lit(day))
-    storage.replace_partitions(gold.gmv_by_subsidiary(written), lake.mart, ["snapshot_date"])
-    storage.replace_partitions(quality.quarantine_missing_items(written), lake.quarantine, ["snapshot_date"])
-    storage.replace_partitions(quality.dq_metrics(written, run_datetime=stamp), lake.dq, ["snapshot_date"])
+    storage.replace_partitions(gold.gmv_by_subsidiary(written), lake.mart, ["snapshot_date"], [day])
+    storage.replace_partitions(quality.quarantine_missing_items(written), lake.quarantine, ["snapshot_date"], [day])
+    metrics = quality.dq_run_row(quality.dq_metrics(written), day, stamp)
+    storage.replace_partitions(metrics, lake.dq, ["snapshot_date"], [day])
 
 
 def read_ledger(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
+from snapledger.functions.columns import ntz
 from snapledger.model import ENTITIES, EXTRA_INFO, PRODUCT_ITEM, PURCHASE, Entity
 from snapledger.operators import asof, bronze, gold, quality, reports, silver
 from snapledger.plans import daily
@@ -141,7 +142,7 @@ def _q_silver(entity: Entity) -> Callable[[SparkSession, str], DataFrame]:
 
 def _two_batches(spark: SparkSession, sf: str, entity: Entity) -> tuple[DataFrame, DataFrame]:
     b = _bronze(spark, sf, entity)
-    first = b.filter(F.col("ingestion_date") <= F.lit(BATCH_CUT).cast("timestamp_ntz"))
+    first = b.filter(F.col("ingestion_date") <= ntz(BATCH_CUT))
     return b, first
 
 
@@ -149,7 +150,7 @@ def q_silver_purchase_two_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Batch 1, then an incremental run from the high-water mark: equals one batch."""
     b, first = _two_batches(spark, sf, PURCHASE)
     s1 = silver.build_silver(first, PURCHASE, line_created_at=LINE_CREATED_AT)
-    mark = silver.high_water_mark(s1)
+    mark = first.agg(F.max("ingestion_date").alias("m")).first()["m"]  # the mark that s1 would give
     inc = silver.incremental_slice(b, mark)
     return _no_clock(silver.build_silver(inc, PURCHASE, history=s1, line_created_at=LINE_CREATED_AT))
 
@@ -158,7 +159,7 @@ def q_upsert_purchase(spark: SparkSession, sf: str) -> DataFrame:
     """MERGE of the second batch into the first batch's silver (touched keys only)."""
     b, first = _two_batches(spark, sf, PURCHASE)
     s1 = silver.build_silver(first, PURCHASE, line_created_at=LINE_CREATED_AT)
-    second = b.filter(F.col("ingestion_date") > F.lit(BATCH_CUT).cast("timestamp_ntz"))
+    second = b.filter(F.col("ingestion_date") > ntz(BATCH_CUT))
     return _no_clock(silver.upsert(s1, second, PURCHASE, line_created_at=LINE_CREATED_AT))
 
 
@@ -243,7 +244,7 @@ def q_dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def _deliveries(spark: SparkSession, sf: str, entity: Entity) -> tuple[DataFrame, DataFrame]:
     """The entity's events split into two deliveries at BATCH_CUT (delivery stamps kept)."""
     ev = testmap.events_for(spark, sf, entity.name)
-    cut = F.lit(BATCH_CUT).cast("timestamp_ntz")
+    cut = ntz(BATCH_CUT)
     return ev.filter(F.col("ingestion_date") <= cut), ev.filter(F.col("ingestion_date") > cut)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -19,8 +19,7 @@ RECOMMENDED_CONF = {
     # No broadcast from plan-time estimates: they come from compressed file
     # sizes and ignore fan-out (explode, joins), so they can be far too small.
     # Broadcasts happen only (a) at runtime, when AQE has measured the real
-    # shuffle output of a side, or (b) explicitly after a row-count check
-    # (functions.broadcast_if_small).
+    # shuffle output of a side, or (b) explicitly for inputs of a bounded size.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     # A side already hash-partitioned on a subset of the join keys (e.g.
@@ -72,8 +71,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, durable folder and is used as
-    is. Only when it is unset (local tests) is ``fallback`` (or a fresh
-    scratch folder) installed.
+    is. Only when it is unset is ``fallback`` installed, or in local mode (as
+    in tests) a fresh scratch folder; on a cluster that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -84,9 +83,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if sc_dir:
         return sc_dir
     if fallback is None:
-        import tempfile
-
-        fallback = tempfile.mkdtemp(prefix="snapledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        # In local mode (tests) driver and tasks share the machine's disk; elsewhere they don't.
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        fallback = tempfile.mkdtemp(prefix="snapledger-ckpt-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback

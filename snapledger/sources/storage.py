@@ -17,22 +17,6 @@ from pyspark.sql import types as T
 from snapledger.session import checkpoint_dir
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields far fewer splits than the cluster has cores.
-
-    An unsplittable input (one large Parquet row group, a gzip file) is read
-    by a single task, and every narrow step fused into that stage – including
-    the map-side pre-aggregation before the first shuffle – runs serially. A
-    round-robin repartition to the default parallelism is skew-neutral and
-    keeps that pre-aggregation. Inputs that already have enough splits (any
-    large table on a cluster) are returned unchanged.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > target:
-        return df
-    return df.repartition(target)
-
-
 def _missing(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     return (cond() if cond else None) == "PATH_NOT_FOUND"
@@ -72,15 +56,61 @@ def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None
     _balanced(df, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Overwrite exactly the partitions present in ``df``; all others are kept."""
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    owned: Sequence[object] | None = None,
+    sort_cols: Sequence[str] = (),
+) -> None:
+    """Overwrite the partitions present in ``df``; all others are kept.
+
+    ``owned``: values of the first partition column that this write stands for
+    as a whole. What ``df`` no longer has of them is cleared too, after the
+    write has succeeded, so a rerun whose result is empty (or has lost a
+    second-level partition) leaves nothing old behind. ``sort_cols`` orders the
+    rows inside each file.
+    """
+    spark = df.sparkSession
+    before = [f for v in owned or () for f in _files(spark, f"{path}/{partition_cols[0]}={v}")]
+    out = _balanced(df, partition_cols)
+    if sort_cols:
+        out = out.sortWithinPartitions(*partition_cols, *sort_cols)
     (
-        _balanced(df, partition_cols)
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(path)
     )
+    # Replaced partitions have lost their old files already; the rest are stale.
+    for f in before:
+        _delete_file(spark, f)
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """All files below a folder; none if it isn't there."""
+    fs, target = _folder(spark, path)
+    if not fs.exists(target):
+        return []
+    found, each = [], fs.listFiles(target, True)
+    while each.hasNext():
+        found.append(each.next().getPath().toString())
+    return found
+
+
+def _delete_file(spark: SparkSession, path: str) -> None:
+    """Delete a file if it is there, and its folder when that leaves it empty."""
+    fs, target = _folder(spark, path)
+    if fs.exists(target):
+        fs.delete(target, False)
+    parent = target.getParent()
+    if fs.exists(parent) and not fs.listStatus(parent):
+        fs.delete(parent, False)
 
 
 def staged(df: DataFrame) -> DataFrame:

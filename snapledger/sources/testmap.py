@@ -10,12 +10,11 @@ projections and filters (no shuffle) except the extra-info dimension lookups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.functions.columns import broadcast_if_small, days_after, hours_after
+from snapledger.functions.columns import days_after, hours_after
 from snapledger.model import MONEY
-from snapledger.sources.storage import ensure_parallelism
 
 # Fixed derivation parameters of the event views.
 PRODUCER_MODULUS = 300          # producer_id = o_custkey % 300
@@ -28,35 +27,29 @@ EXTRA_MOVE_MODULUS = 13         # extra info of o_orderkey % 13 = 0 moves 60 day
 EXTRA_MOVE_DAYS = 60
 MOVED_SUBSIDIARY = "MOVED"
 ITEM_PARTITIONS = 8             # prod_item_partition = key % 8 in the report inputs
-GEO_BROADCAST_ROWS = 100_000    # nation x region lookup is broadcast up to this many rows
 
-_READS: dict[tuple[str, str], DataFrame] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Read one input table; the (immutable) test tables are listed once per application.
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one input table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    ``spread`` applies :func:`snapledger.sources.storage.ensure_parallelism`
-    for fact scans whose next step is map-side work before any shuffle.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (str(id(spark)), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    df = _READS[key]
-    return ensure_parallelism(df) if spread else df
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
 
-def _orders(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    return table(spark, sf_dir, "orders", spread).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+def _events(df: DataFrame, *events: Column) -> DataFrame:
+    """One row per event that is not null, from one pass over ``df``."""
+    each = F.explode(F.filter(F.array(*events), lambda e: e.isNotNull()))
+    return df.select(each.alias("e")).select("e.*")
 
 
 def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders(spark, sf_dir, spread=True)
     released_at = days_after("o_orderdate", F.col("o_orderkey") % RELEASE_DELAY_MODULUS + 1)
 
-    def shape(ts, release, ingestion):
-        return [
+    def event(ts, release, ingestion):
+        return F.struct(
             ts.alias("transaction_datetime"),
             F.to_date(ts).alias("transaction_date"),
             F.col("o_orderkey").alias("purchase_id"),
@@ -66,27 +59,26 @@ def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             release.alias("release_date"),
             (F.col("o_custkey") % PRODUCER_MODULUS).alias("producer_id"),
             ingestion.alias("ingestion_date"),
-        ]
+        )
 
     no_release = F.lit(None).cast("date")
-    created = o.select(*shape(F.col("o_orderdate"), no_release, days_after("o_orderdate", 1)))
-    released = o.filter(F.col("o_orderstatus") != "P").select(
-        *shape(released_at, F.to_date(released_at), days_after(released_at, 1))
-    )
-    redelivered = o.filter(F.col("o_orderkey") % PURCHASE_REDELIVERY_MODULUS == 0).select(
-        *shape(F.col("o_orderdate"), no_release, days_after("o_orderdate", 2))
+    return _events(
+        _orders(spark, sf_dir),
+        event(F.col("o_orderdate"), no_release, days_after("o_orderdate", 1)),
+        F.when(F.col("o_orderstatus") != "P", event(released_at, F.to_date(released_at), days_after(released_at, 1))),
+        F.when(F.col("o_orderkey") % PURCHASE_REDELIVERY_MODULUS == 0,
+               event(F.col("o_orderdate"), no_release, days_after("o_orderdate", 2))),
     )
-    return created.unionByName(released).unionByName(redelivered)
 
 
 def item_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=True).select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     value = F.col("l_extendedprice").cast(MONEY)
 
-    def shape(v, ingestion):
-        return [
+    def event(v, ingestion):
+        return F.struct(
             F.col("l_shipdate").alias("transaction_datetime"),
             F.to_date("l_shipdate").alias("transaction_date"),
             F.col("l_orderkey").alias("purchase_id"),
@@ -94,13 +86,14 @@ def item_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_quantity").cast("int").alias("item_quantity"),
             v.cast(MONEY).alias("purchase_value"),
             ingestion.alias("ingestion_date"),
-        ]
+        )
 
-    first = li.select(*shape(value, hours_after("l_shipdate", F.col("l_linenumber"))))
-    corrected = li.filter(F.col("l_orderkey") % ITEM_CORRECTION_MODULUS == 0).select(
-        *shape(value + F.lit(1).cast(MONEY), hours_after("l_shipdate", F.col("l_linenumber") + 24))
+    return _events(
+        li,
+        event(value, hours_after("l_shipdate", F.col("l_linenumber"))),
+        F.when(F.col("l_orderkey") % ITEM_CORRECTION_MODULUS == 0,
+               event(value + F.lit(1).cast(MONEY), hours_after("l_shipdate", F.col("l_linenumber") + 24))),
     )
-    return first.unionByName(corrected)
 
 
 def extra_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,30 +101,26 @@ def extra_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # The nation and region lookups are broadcast after row-count checks, so
-    # the customer side is never shuffled on its handful of nation keys.
-    n = broadcast_if_small(n, GEO_BROADCAST_ROWS, cache_key=f"{sf_dir}/nation")
-    r = broadcast_if_small(r, GEO_BROADCAST_ROWS, cache_key=f"{sf_dir}/region")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
-    cust_region = c.join(geo, c.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
+    # The star schema fixes nation and region at 25 and 5 rows, whatever the scale.
+    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
+    cust_region = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
     base = o.join(cust_region, o.o_custkey == cust_region.c_custkey)
 
-    def shape(ts, subsidiary):
-        return [
+    def event(ts, subsidiary):
+        return F.struct(
             ts.alias("transaction_datetime"),
             F.to_date(ts).alias("transaction_date"),
             F.col("o_orderkey").alias("purchase_id"),
             subsidiary.alias("subsidiary"),
             days_after(ts, 1).alias("ingestion_date"),
-        ]
+        )
 
-    first = base.select(*shape(days_after("o_orderdate", F.col("o_orderkey") % EXTRA_DELAY_MODULUS),
-                               F.col("r_name")))
-    moved = base.filter(F.col("o_orderkey") % EXTRA_MOVE_MODULUS == 0).select(
-        *shape(days_after("o_orderdate", F.col("o_orderkey") % EXTRA_DELAY_MODULUS + EXTRA_MOVE_DAYS),
-               F.lit(MOVED_SUBSIDIARY))
+    return _events(
+        base,
+        event(days_after("o_orderdate", F.col("o_orderkey") % EXTRA_DELAY_MODULUS), F.col("r_name")),
+        F.when(F.col("o_orderkey") % EXTRA_MOVE_MODULUS == 0,
+               event(days_after("o_orderdate", F.col("o_orderkey") % EXTRA_DELAY_MODULUS + EXTRA_MOVE_DAYS), F.lit(MOVED_SUBSIDIARY))),
     )
-    return first.unionByName(moved)
 
 
 def report_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,19 +156,12 @@ EVENT_VIEWS = {
 }
 
 
-def view_name(sf_dir: str, entity_name: str) -> str:
-    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.rstrip("/").rsplit("/", 1)[-1])
-    return f"bronze_{entity_name}_{tag}_{abs(hash(sf_dir)) % 10**8}"
-
-
 def events_for(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFrame:
-    """Bronze-shaped events of one entity, published once per session as a temp view."""
-    name = view_name(sf_dir, entity_name)
-    if not spark.catalog.tableExists(name):
-        EVENT_VIEWS[entity_name](spark, sf_dir).createOrReplaceTempView(name)
-    return spark.table(name)
+    """Bronze-shaped events of one entity."""
+    return EVENT_VIEWS[entity_name](spark, sf_dir)
 
 
-def event_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Bronze-shaped events keyed by entity name."""
-    return {name: build(spark, sf_dir) for name, build in EVENT_VIEWS.items()}
+def publish_events(spark: SparkSession, sf_dir: str, entity_name: str, view: str) -> DataFrame:
+    """Events of one entity published as a temp view, and the view read back."""
+    events_for(spark, sf_dir, entity_name).createOrReplaceTempView(view)
+    return spark.table(view)

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from snapledger.functions.skew import salted_join
 from snapledger.model import EXTRA_INFO, PRODUCT_ITEM, PURCHASE
 from snapledger.operators import asof, bronze, gold, silver
 
@@ -54,8 +55,7 @@ def skew_conf(spark):
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
             # Force shuffle joins: at this size AQE would otherwise broadcast.
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "snapledger.skew.hotKeyRows": "1000",
-            "snapledger.skew.saltBuckets": "8"}
+            "snapledger.skew.keyRows": "500"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -92,7 +92,26 @@ def test_hot_purchase_exact_and_split(spark, skew_conf):
     assert rows == len(j)
     assert got == want
 
-    # The hot purchase's items are spread over the salt buckets of the join.
-    plan = snap._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
-    assert p.sparkSession.conf.get("snapledger.skew.hotKeyRows") == "1000"
+
+
+def test_hot_key_rows_are_spread_over_tasks(spark, skew_conf):
+    _, items, _ = _events(spark)
+    small = items.select("purchase_id").distinct().withColumn("tag", F.col("purchase_id") * 2)
+    # Without the skew split of the runtime, only the parts can spread the hot key.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(items, small, ["purchase_id"])
+        per_task = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    total, hot = items.count(), items.where(F.col("purchase_id") == HOT).count()
+    assert sum(per_task) == total
+    assert max(per_task) < hot / 2  # one task would hold all of the hot key's rows
+
+
+def test_salted_join_builds_without_a_job(spark, skew_conf):
+    _, items, _ = _events(spark)
+    tracker, group = spark.sparkContext.statusTracker(), "salted-join-build"
+    spark.sparkContext.setJobGroup(group, "plan only")
+    salted_join(items, items.select("purchase_id").distinct(), ["purchase_id"], "left")
+    assert not tracker.getJobIdsForGroup(group)
