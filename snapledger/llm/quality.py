@@ -35,8 +35,8 @@ from snapledger.llm.common import map_batches
 #: Rated texts that the model is fitted on, at most.
 SAMPLE = 6000
 #: Texts that a feature must be in, and its score against chance.
-LEAST_TEXTS = 4
-SCORE = 5.0
+LEAST_TEXTS = 3
+SCORE = 4.0
 #: Penalty on squared weights, steps and step size of the fit.
 PENALTY = 0.02
 STEPS = 400

@@ -1,0 +1,149 @@
+"""SimHash, suffix and embedding near-duplicates, and components, against brute force."""
+
+import random
+from hashlib import sha256
+
+import numpy as np
+import pytest
+import xxhash
+
+import cases
+from snapledger.llm import neighbours, simhash, suffixes
+from snapledger.llm.components import connected_components
+
+
+def brute_simhash(text: str) -> int:
+    words = text.encode().lower().split()
+    shingles = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    h = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@pytest.mark.parametrize("data", [cases.rows(), []], ids=["rows", "empty"])
+def test_simhash_components(spark, data):
+    marks = [brute_simhash(d[1] or "") for d in data]
+    keys = [d[0] if d[0] is not None else 1 << 62 for d in data]
+    low = cases.pages_of(keys, lambda i, j: (marks[i] ^ marks[j]).bit_count() <= 4)
+    want = sorted(((d[0], f"{marks[i]:016x}", low[i] if low[i] < 1 << 62 else None) for i, d in enumerate(data)), key=str)
+    got = simhash.simhash_components(cases.table(spark, data))
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+@pytest.mark.parametrize("tile", [4096, 20])
+def test_near_links_of_crowded_cells(spark, tile):
+    """A dense ball, scattered points and a chain; with a small tile every cell is a crowd."""
+    rng = random.Random(1)
+    centre = rng.getrandbits(64)
+    points = {centre}
+    for _ in range(150):
+        points.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5))))
+    at = rng.getrandbits(64)
+    for _ in range(40):
+        at ^= sum(1 << b for b in rng.sample(range(64), 4))
+        points.add(at)
+    points |= {rng.getrandbits(64) for _ in range(100)}
+    points = sorted(points)
+    low = cases.pages_of(list(range(len(points))), lambda i, j: (points[i] ^ points[j]).bit_count() <= 4)
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, i) for i, p in enumerate(points)], "point long, rep long")
+    got = {r["node"]: r["component"] for r in connected_components(simhash.near_links(df, 4, tile)).collect()}
+    assert {i: got.get(i, i) for i in range(len(points))} == low
+
+
+def test_lower_bound_never_exceeds_the_bit_distance():
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 1 << 63, (2, 5000)).astype(np.uint64)
+    assert (np.bitwise_count(simhash.popcount_code(a) ^ simhash.popcount_code(b)) <= np.bitwise_count(a ^ b)).all()
+
+
+def test_components_of_stars_chains_and_nothing(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3), (300, 299), (299, 300)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 260)]}, 299: 299, 300: 299}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_suffix_dedup(spark, monkeypatch, small):
+    data = cases.rows(ids=False)
+    if small:  # every path: cut texts, many flushes
+        monkeypatch.setattr(suffixes, "CHUNK", 700)
+    data.sort(key=lambda d: d[0])
+    raw = [(d[1] or "").encode() for d in data]
+    want = []
+    for d, b, gone in zip(data, raw, cases.repeats(raw, 100), strict=True):
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        want.append((d[0], len(b), int(gone.sum()), spans, sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"), d[2]))
+    got = suffixes.remove_repeats(cases.table(spark, data), carry=["source"]).collect()
+    assert sorted(map(tuple, got)) == want
+    assert sum(w[2] for w in want) > 1000
+
+
+def test_suffix_dedup_rows_without_a_key_of_their_own(spark):
+    data = cases.rows()
+    got = suffixes.remove_repeats(cases.table(spark, data)).collect()
+    assert len(got) == len(data)
+    long_ = data[0][1]
+    whole = [r for r in got if r["kept"] == long_]
+    assert len(whole) == 1  # one of the four equal texts is left
+    assert suffixes.remove_repeats(cases.table(spark, [])).count() == 0
+
+
+def test_crowded_anchors_are_dealt_by_window(spark, monkeypatch):
+    rng = random.Random(9)
+    line = cases.prose(rng, 20)
+    texts = [cases.prose(rng, 15) + " " + line + " " + cases.prose(rng, 15) for _ in range(40)]
+    raw = [t.encode() for t in texts]
+    want = [int(g.sum()) for g in cases.repeats(raw, 100)]
+    h = suffixes.runs_of(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])[:-1], np.cumsum(list(map(len, raw))), 100, 32)
+    assert (np.bincount(np.unique(h[0], return_inverse=True)[1]) >= 40).any()  # an anchor in every text
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in suffixes.remove_repeats(docs).collect()}
+    assert [got[i] for i in range(40)] == want
+
+
+def test_fetched_spans_window_by_window():
+    """The path of crowded anchors, without Spark: windows of two equal strings meet."""
+    import pyarrow as pa
+
+    text = cases.prose(random.Random(3), 60)
+    cols = [np.array(v, np.int64) for v in ([1, 2], [0, 0], [5, 5], [3, 3], [10, 10], [77, 77], [1, 1])]
+    names = ["to", "key", "tie", "text", "late", "raw"]
+    batch = pa.RecordBatch.from_pydict({"to": [0, 0, 0], "key": [0, 1, 2], "tie": [0, 0, 0], "text": ["", text, text], "late": [0, 1, 1],
+                                        "raw": [suffixes.pack(cols), None, None]})
+    assert batch.schema.names == names
+    spans = list(suffixes.fetched(iter([batch]), 1, 100))
+    found = [r for b in suffixes.ordered_spans(iter(spans), 1, 100) for r in b.column(2).to_pylist()]
+    key, _, at, n = suffixes.joined(found, 4)
+    assert set(zip(key.tolist(), at.tolist(), n.tolist(), strict=True)) == {(2, 5, 1), (2, 6, 1), (2, 7, 1)}
+
+
+def vectors() -> list[tuple]:
+    rng = np.random.default_rng(6)
+    out: list[tuple] = []
+    for label in (0, 1):
+        for size in (60, 5, 2, 1, 1, 1):
+            c = rng.standard_normal(16)
+            out += [(0, label, (c + 0.06 * rng.standard_normal(16)).astype(np.float32).tolist()) for _ in range(size)]
+    v = out[0][2]
+    out += [(0, 0, v), (0, None, v), (0, 0, None), (0, 0, []), (0, 0, [0.0] * 16), (0, 0, [None, *v[1:]]), (0, 0, [float("nan"), *v[1:]]),
+            (0, 0, [float("inf"), *v[1:]]), (0, 0, v[:8]), (0, 0, [x * 1e-30 for x in v])]
+    return [(i, label, e) for i, (_, label, e) in enumerate(out)]
+
+
+@pytest.mark.parametrize("data", [vectors(), []], ids=["rows", "empty"])
+def test_vector_links(spark, monkeypatch, data):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)  # dense groups in many parts
+    ok = [label is not None and e is not None and len(e) > 0 and None not in e and bool(np.isfinite(e).all()) and any(e) for _, label, e in data]
+    unit = [np.array(e, float) / np.abs(e).max() if o else None for o, (_, _, e) in zip(ok, data, strict=True)]
+    unit = [u / np.linalg.norm(u) if u is not None else None for u in unit]
+
+    def link(i: int, j: int) -> bool:
+        return ok[i] and ok[j] and data[i][1] == data[j][1] and len(unit[i]) == len(unit[j]) and float(unit[i] @ unit[j]) >= 0.98
+
+    low = cases.pages_of([d[0] for d in data], link)
+    want = [(i, sum(link(i, j) for j in range(len(data)) if j != i), low[i], low[i] == i) for i in range(len(data))]
+    df = spark.createDataFrame([(*d, 5) for d in data], "vec_id long, label int, embedding array<float>, component long")
+    got = neighbours.vector_links(df)
+    assert sorted(map(tuple, got.collect())) == want
+    assert not data or sum(w[1] for w in want) > 1000
