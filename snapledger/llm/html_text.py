@@ -28,9 +28,10 @@ from snapledger.llm.common import map_batches, written
 #: Pages that must have a style node before its importance is trusted.
 LEAST_PAGES = 8
 #: A branch below this importance is cut; weight of what lies below a node.
-IMPORTANCE = 0.15
+IMPORTANCE = 0.25
 DAMP = 0.9
-#: A cut that would take more than this share of a page's main text is not made.
+#: A cut that would leave a page without text is not made, nor one that would take
+#: more than this share of an article or main element.
 MOST_CUT = 0.5
 
 # Element names of HTML by how they are laid out.
@@ -212,7 +213,8 @@ class Page:
         if cut:
             left = [b for b in blocks if b[1] not in cut and cut.isdisjoint(b[2])]
             size = sum(len(b[0]) for b in blocks)
-            if size - sum(len(b[0]) for b in left) <= MOST_CUT * size:
+            most = MOST_CUT if blocks and blocks[0][3] else 1.0
+            if left and size - sum(len(b[0]) for b in left) <= most * size:
                 blocks = left
         return "\n\n".join(b[0] for b in blocks)
 
