@@ -27,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,21 +43,19 @@ MAGIC = b"TOKIDX01"
 #: Levels before the few keys left are listed one by one.
 LEVELS = 24
 #: Kept chunks per worker, and the longest kept.
-KEEP_CHUNKS = 700_000
+KEEP_CHUNKS = 1_100_000
 KEEP_CHARS = 64
-
-#: Fixed value: the split pattern of the byte-level vocabulary.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
+#: Words encoded as one line.
+JOINED = 64
 
 # --- encoding -----------------------------------------------------------------
 
 
 class ChunkIds(dict):
-    """Raw ids of a chunk (a word with the space before it), by the tokenizers library.
+    """Raw ids of a word with the space before it, by the tokenizers library.
 
     No piece of the split pattern reaches over a space that follows a
-    character other than white space, so such chunks are encoded once.
+    character other than white space, so such words are encoded once.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,44 +64,43 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size < 1 << 16 else "<u4")
+        #: Whether an id's text begins with a space.
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks not met yet, many in one call."""
-        new = [c for c in chunks if len(c) <= KEEP_CHARS and c not in self]
+    def learn(self, words: set[str]) -> None:
+        """Encode the words not met yet, many in one call."""
+        new = words - self.keys()
         if len(self) + len(new) > KEEP_CHUNKS:
             self.clear()
-            new = [c for c in chunks if len(c) <= KEEP_CHARS]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            new = words
+        new = [w for w in new if len(w) <= KEEP_CHARS]
+        size = self.dtype.itemsize
+        parts = [new[at:at + JOINED] for at in range(0, len(new), JOINED)]
+        lines = [" " + " ".join(part) for part in parts]
+        for part, got in zip(parts, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
             ids = np.array(got.ids, self.dtype)
-            word = np.array(got.word_ids, np.int64)
-            ends = np.searchsorted(word, np.arange(len(part)), side="right")
-            raw, size, start = ids.tobytes(), self.dtype.itemsize, 0
-            for c, end in zip(part, ends.tolist(), strict=True):
-                self[c] = raw[start * size:end * size]
-                start = end
+            at = (np.flatnonzero(self.opens[ids]) * size).tolist()  # words have no space inside
+            if len(at) != len(part):
+                self.update((w, self.whole(" " + w)) for w in part)
+                continue
+            raw = ids.tobytes()
+            self.update(zip(part, map(raw.__getitem__, map(slice, at, [*at[1:], None])), strict=True))
 
-    def __missing__(self, chunk: str) -> bytes:
-        return self.whole(chunk)
+    def __missing__(self, word: str) -> bytes:
+        return self.whole(" " + word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The raw ids of whole texts."""
-        split: list[list[str] | None] = []
-        for t in texts:
-            # Runs of spaces and special strings need the text as a whole.
-            if "  " in t or t.endswith(" ") or "<|" in t:
-                split.append(None)
-            else:
-                head, *rest = t.split(" ")
-                split.append([head, *[" " + c for c in rest]])
-        self.learn({c for chunks in split if chunks for c in chunks})
-        return [self.whole(t) if chunks is None else b"".join(map(self.__getitem__, chunks))
-                for t, chunks in zip(texts, split, strict=True)]
+        # Runs of spaces, a space at the end and special strings need the text as a whole.
+        split = [None if "  " in t or t.endswith(" ") or "<|" in t else t.split(" ") for t in texts]
+        self.learn(set().union(*(w for w in split if w)))
+        return [self.whole(t) if w is None else self.whole(w[0]) + b"".join(map(self.__getitem__, w[1:]))
+                for t, w in zip(texts, split, strict=True)]
 
 
 _ENCODERS: dict[str, ChunkIds] = {}
