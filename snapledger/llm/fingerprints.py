@@ -1,8 +1,8 @@
 """Document fingerprints by a homomorphic multiset hash of paragraphs.
 
-Each paragraph (a line that isn't blank) hashes to a wide vector, and a
-document's fingerprint is the sum of its paragraphs' vectors modulo powers of
-two. The sum doesn't depend on their order, and a paragraph is inserted or
+Each paragraph (a line, or a sentence of a line that has several) hashes to a
+wide vector, and a document's fingerprint is the sum of its paragraphs' vectors
+modulo powers of two. The sum doesn't depend on their order, and a paragraph is inserted or
 deleted by adding or subtracting its vector. The vector has two parts:
 
 * 256 lanes of +1 or -1, summed modulo 2**16. For two documents the scalar
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import bucket_of, map_batches, ordered_bounds, partitions_for
 
 SIGNS, SUMS = 256, 8
+#: Where a paragraph ends.
+ENDS = re.compile(rb"\n|(?<=[.!?])[ \t]+")
 #: Text bytes that one ordered bucket is meant to hold.
 BUCKET_BYTES = 32 << 20
 
@@ -80,8 +83,9 @@ class Fingerprint:
 
 
 def paragraphs(text: str) -> list[bytes]:
-    """The lines of a text that aren't blank, without outer white space."""
-    return [p for line in text.encode().split(b"\n") if (p := line.strip())]
+    """The lines of a text, a line of several sentences as its sentences; without
+    outer white space, and none that is blank."""
+    return [p for piece in ENDS.split(text.encode()) if (p := piece.strip())]
 
 
 def edited(text: str, following: str) -> str:
