@@ -37,7 +37,7 @@ ENLARGED = 16
 #: Projections (sets of cells), vectors a cell is meant to hold, and most that one task compares at once.
 TABLES = 8
 CELL = 128
-BLOCK = 1024
+BLOCK = 256
 #: Rounds stop when fewer than this share of the list places change.
 STILL = 0.002
 ROUNDS = 6
