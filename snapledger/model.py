@@ -160,6 +160,8 @@ DQ_SCHEMA = _schema(
     ("snapshot_datetime", TS),
 )
 
+MARK_SCHEMA = _schema(("mark", TS))
+
 MART_SCHEMA = _schema(
     ("snapshot_date", T.DateType()),
     ("release_date", T.DateType()),

@@ -54,8 +54,10 @@ REPORT_COLS = ["release_date", "subsidiary", "gmv_value", "transaction_count"]
 
 
 def gmv_current(mart: DataFrame) -> DataFrame:
-    """Daily GMV by subsidiary in the current (newest) snapshot."""
-    return mart.filter(F.col("is_current_snapshot")).select(*REPORT_COLS).orderBy("release_date", "subsidiary")
+    """Daily GMV by subsidiary in the current (newest) snapshot: over the stored
+    mart the newest day is a partition value, and only its partition is read."""
+    newest = mart.select(F.max("snapshot_date")).scalar()
+    return mart.filter(F.col("snapshot_date") == newest).select(*REPORT_COLS).orderBy("release_date", "subsidiary")
 
 
 def gmv_latest_window(mart: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:

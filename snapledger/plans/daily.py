@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.functions.columns import as_date, session_clock
-from snapledger.model import DQ_SCHEMA, ENTITIES, LEDGER_SCHEMA, MART_SCHEMA, QUARANTINE_SCHEMA, Entity
+from snapledger.functions.columns import as_date, ntz, session_clock
+from snapledger.model import DQ_SCHEMA, ENTITIES, LEDGER_SCHEMA, MARK_SCHEMA, MART_SCHEMA, QUARANTINE_SCHEMA, Entity
 from snapledger.operators import asof, bronze, gold, quality, silver
 from snapledger.sources import storage
 
@@ -50,8 +50,11 @@ class Lake:
             return df
         return df.withColumn("transaction_month", F.trunc("transaction_date", "month"))
 
-    def read_events(self, spark: SparkSession, path: str, schema, upto: dt.date | None = None) -> DataFrame | None:
-        """Typed read of a bronze/silver table; ``upto`` prunes partitions after that day."""
+    def read_events(
+        self, spark: SparkSession, path: str, schema, upto: dt.date | None = None, with_part: bool = False
+    ) -> DataFrame | None:
+        """Typed read of a bronze/silver table; ``upto`` prunes partitions after that day;
+        ``with_part`` keeps the partition column."""
         if self.event_partition == "day":
             df = storage.read_table(spark, path, schema)
             if df is not None and upto is not None:
@@ -62,7 +65,7 @@ class Lake:
             return None
         if upto is not None:
             df = df.filter(F.col("transaction_month") <= F.trunc(F.lit(upto), "month"))
-        return df.drop("transaction_month")
+        return df if with_part else df.drop("transaction_month")
 
     def bronze(self, e: Entity) -> str:
         return f"{self.root}/bronze/{e.name}"
@@ -73,6 +76,14 @@ class Lake:
     def silver(self, e: Entity) -> str:
         return f"{self.root}/silver/{e.name}"
 
+    def mark(self, e: Entity) -> str:
+        """One row: the newest delivery folded into silver, written after the commit."""
+        return f"{self.root}/silver_marks/{e.name}"
+
+    def pending(self, e: Entity) -> str:
+        """A folder that is there while silver partitions are being replaced."""
+        return f"{self.root}/silver_pending/{e.name}"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/gold/ledger"
@@ -120,24 +131,71 @@ def arrived(spark: SparkSession, lake: Lake, entity: Entity, day: str | dt.date)
 # ------------------------------------------------------------------ silver
 
 
+#: Bronze deliveries up to this long before the mark are read again, so rows that
+#: land late with an older stamp aren't lost; deduplication makes that harmless.
+OVERLAP = dt.timedelta(days=1)
+
+
+def read_mark(spark: SparkSession, lake: Lake, entity: Entity) -> dt.datetime | None:
+    """The stored high-water mark; none (read everything) if it isn't there."""
+    if not storage.exists(spark, lake.mark(entity)):
+        return None
+    row = storage.read_or_empty(spark, lake.mark(entity), MARK_SCHEMA).first()
+    return row["mark"] if row else None
+
+
 def run_silver(
     spark: SparkSession,
     lake: Lake,
     entity: Entity,
     line_created_at: dt.datetime | None = None,
-    overlap: dt.timedelta | None = None,
+    overlap: dt.timedelta | None = OVERLAP,
 ) -> None:
     """Fold new bronze deliveries into silver, rewriting only touched partitions.
 
     First run: full build. Later runs: the increment after the high-water
-    mark (minus ``overlap``) is merged for the business keys it touches; the
-    partitions holding any changed row are rewritten in full (their untouched
-    rows included) and every other partition is left as it is.
+    mark (minus ``overlap``) is merged for the business keys it touches. A run
+    that was killed while it replaced partitions leaves its pending folder
+    behind; the next run then rebuilds silver from all of bronze.
     """
+    if storage.exists(spark, lake.pending(entity)):
+        rebuild_silver(spark, lake, entity, line_created_at)
+        return
     events = read_bronze(spark, lake, entity)
+    mark = read_mark(spark, lake, entity)
+    increment = silver.incremental_slice(events, mark, overlap)
+    newest = increment.agg(F.max("ingestion_date").alias("m")).first()["m"]
+    if newest is None:
+        return
     current = lake.read_events(spark, lake.silver(entity), entity.silver_schema)
-    mark = silver.high_water_mark(current)
-    merge_into_silver(spark, lake, entity, silver.incremental_slice(events, mark, overlap), line_created_at)
+    if mark is not None and overlap and current is not None:
+        # Of the rows read again, those that silver holds as delivered touch nothing.
+        held = current.where(F.col("bronze_ingestion_date") > ntz(mark - overlap)).select(
+            *entity.event_key, F.col("bronze_ingestion_date").alias("ingestion_date"))
+        increment = increment.join(held, [*entity.event_key, "ingestion_date"], "left_anti").select(*increment.columns)
+    merge_into_silver(spark, lake, entity, increment, line_created_at)
+    _write_mark(spark, lake, entity, newest)
+
+
+def rebuild_silver(spark: SparkSession, lake: Lake, entity: Entity, line_created_at: dt.datetime | None = None) -> None:
+    """Silver from all of bronze, replacing whatever is stored."""
+    events = read_bronze(spark, lake, entity)
+    newest = events.agg(F.max("ingestion_date").alias("m")).first()["m"]
+    if newest is None:
+        return
+    out = storage.staged(lake.with_event_part(silver.build_silver(events, entity, line_created_at=line_created_at)))
+    _replace_silver(spark, lake, entity, out)
+    _write_mark(spark, lake, entity, newest)
+
+
+def _write_mark(spark: SparkSession, lake: Lake, entity: Entity, mark: dt.datetime) -> None:
+    spark.range(1).select(ntz(mark).alias("mark")).coalesce(1).write.mode("overwrite").parquet(lake.mark(entity))
+
+
+def _replace_silver(spark: SparkSession, lake: Lake, entity: Entity, out: DataFrame) -> None:
+    storage.make_folder(spark, lake.pending(entity))
+    storage.replace_partitions(out, lake.silver(entity), [lake.event_part_col])
+    storage.remove(spark, lake.pending(entity))
 
 
 def merge_into_silver(
@@ -147,19 +205,31 @@ def merge_into_silver(
     increment: DataFrame,
     line_created_at: dt.datetime | None = None,
 ) -> None:
-    """Merge bronze rows into silver (batch runs and stream micro-batches alike)."""
-    current = lake.read_events(spark, lake.silver(entity), entity.silver_schema)
-    part = lake.event_part_col
+    """Merge bronze rows into silver (batch runs and stream micro-batches alike).
+
+    The keys of the increment name the partitions they touch (a scan of key and
+    partition columns); only those are read whole and replaced, in one pass in
+    which rows of other keys keep their flag.
+    """
+    part, key = lake.event_part_col, list(entity.business_key)
+    current = lake.read_events(spark, lake.silver(entity), entity.silver_schema, with_part=True)
     if current is None:
         out = lake.with_event_part(silver.build_silver(increment, entity, line_created_at=line_created_at))
-        storage.replace_partitions(out, lake.silver(entity), [part])
+        _replace_silver(spark, lake, entity, out)
+        return
+    ready = storage.staged(lake.with_event_part(silver.prepare_increment(increment, entity, line_created_at)))
+    keys = ready.select(*key).distinct()
+    # One value per touched partition reaches the driver.
+    days = [r[0] for r in current.select(*key, part).join(keys, key, "left_semi").select(part).union(ready.select(part)).distinct().collect()]
+    if not days:
         return
-    changed, unchanged = silver.merge_increment(current, increment, entity, line_created_at)
-    changed, unchanged = lake.with_event_part(changed), lake.with_event_part(unchanged)
-    touched = changed.select(part).distinct()
-    rewrite = changed.unionByName(unchanged.join(touched, part, "left_semi"))
+    stored = current.where(F.col(part).isin(days)).join(keys.withColumn("_touched", F.lit(True)), key, "left")
+    rows = stored.withColumnRenamed(silver.FLAG, "_was").unionByName(ready.withColumn("_touched", F.lit(True)), allowMissingColumns=True)
+    marked = silver.mark_current(silver.dedup_events(rows, entity), entity, key_source=rows)
+    flag = F.when(F.col("_touched"), F.col(silver.FLAG)).otherwise(F.col("_was"))
+    out = marked.withColumn(silver.FLAG, flag).select(*dict.fromkeys([*entity.silver_columns, "line_created_at", silver.FLAG, part]))
     # The rewrite reads the table it replaces: stage it first.
-    storage.replace_partitions(storage.staged(rewrite), lake.silver(entity), [part])
+    _replace_silver(spark, lake, entity, storage.staged(out))
 
 
 # ------------------------------------------------------------------ gold
@@ -214,6 +284,10 @@ def run_gold(
     storage.replace_partitions(metrics, lake.dq, ["snapshot_date"], [day])
 
 
+def read_mart(spark: SparkSession, lake: Lake) -> DataFrame:
+    return storage.read_or_empty(spark, lake.mart, MART_SCHEMA)
+
+
 def read_ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     return storage.read_or_empty(spark, lake.ledger, LEDGER_SCHEMA)
 
@@ -225,8 +299,7 @@ def ledger_view(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def mart_view(spark: SparkSession, lake: Lake) -> DataFrame:
     """The published mart with ``is_current_snapshot`` and ``transaction_date`` derived on read."""
-    mart = storage.read_or_empty(spark, lake.mart, MART_SCHEMA)
-    return gold.mark_current_snapshot(mart).withColumn("transaction_date", F.col("snapshot_date"))
+    return gold.mark_current_snapshot(read_mart(spark, lake)).withColumn("transaction_date", F.col("snapshot_date"))
 
 
 def quarantine_view(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -17,10 +17,10 @@ import uuid
 
 from snapledger.functions.columns import ntz
 from snapledger.model import ENTITIES, EXTRA_INFO, PRODUCT_ITEM, PURCHASE, Entity
-from snapledger.operators import asof, bronze, gold, quality, reports, silver
-from snapledger.plans import daily
+from snapledger.operators import asof, backfill, bronze, gold, quality, reports, silver
+from snapledger.plans import daily, ddl
 from snapledger.session import scratch_path
-from snapledger.sources import testmap
+from snapledger.sources import storage, testmap
 from snapledger.streaming.incremental import silver_stream
 
 # Fixed query parameters.
@@ -34,6 +34,7 @@ KNOWN_BY = dt.datetime(1998, 7, 1)        # bitemporal as-of: deliveries receive
 WINDOW_START, WINDOW_END = dt.date(1998, 1, 1), dt.date(1998, 2, 1)
 AS_SEEN_ON = dt.date(1998, 7, 15)
 BACKFILL_EVERY = "quarter"
+EMPTY_DAY = dt.date(1990, 1, 1)            # before all events
 LINE_CREATED_AT = dt.datetime(2000, 1, 1)  # lineage stamp used instead of the clock
 
 
@@ -80,23 +81,46 @@ def _stamp_after(col: str = "snapshot_date"):
     return F.col(col).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
 
 
-def _ledger_for(spark: SparkSession, sf: str, days, grain: str = "item") -> DataFrame:
-    """Snapshots of many days in one pass over validity intervals."""
+def _ledger_for(spark: SparkSession, sf: str, days, grain: str = "item") -> tuple[DataFrame, DataFrame]:
+    """Snapshots of many days in one pass over validity intervals, and the paid
+    purchases behind them (the cheaper input for the newest snapshot day)."""
     ev = _all_events(spark, sf)
     p = asof.as_of_many(ev["purchase"], PURCHASE, days)
     i = asof.as_of_many(ev["product_item"], PRODUCT_ITEM, days)
     x = asof.as_of_many(ev["purchase_extra_info"], EXTRA_INFO, days)
-    return gold.purchase_snapshot(p, i, x, snapshot_datetime=_stamp_after(), grain=grain,
-                                  item_events=ev["product_item"])
+    ledger = gold.purchase_snapshot(p, i, x, snapshot_datetime=_stamp_after(), grain=grain, item_events=ev["product_item"])
+    return ledger, gold.paid(p).select("snapshot_date")
 
 
 def _ledger(spark: SparkSession, sf: str, grain: str = "item") -> DataFrame:
     """Ledger holding the daily snapshots of SNAPSHOT_DAYS."""
-    return _ledger_for(spark, sf, SNAPSHOT_DAYS, grain)
+    return _ledger_for(spark, sf, SNAPSHOT_DAYS, grain)[0]
 
 
-def _mart(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.gmv_daily(_ledger(spark, sf))
+def _flagged_ledger(spark: SparkSession, sf: str, grain: str = "item") -> DataFrame:
+    ledger, heads = _ledger_for(spark, sf, SNAPSHOT_DAYS, grain)
+    return gold.mark_current_snapshot(ledger, days=heads)
+
+
+def _stored(spark: SparkSession, make: Callable[[daily.Lake], DataFrame], event_partition: str = "month") -> DataFrame:
+    """What ``make`` reads from a lake in a fresh folder of the shared checkpoint
+    folder; the result is checkpointed and the lake removed again."""
+    lake = daily.Lake(scratch_path(spark, f"lake-{uuid.uuid4().hex}"), event_partition=event_partition)
+    try:
+        return storage.staged(make(lake))
+    finally:
+        storage.remove(spark, lake.root)
+
+
+def _on_stored_mart(spark: SparkSession, sf: str, report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A report over the mart as published: one partition per snapshot day."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        mart = gold.gmv_by_subsidiary(_ledger(spark, sf))
+        storage.replace_partitions(mart, lake.mart, ["snapshot_date"])
+        return report(daily.read_mart(spark, lake))
+
+    return _stored(spark, make)
 
 
 def _no_clock(df: DataFrame) -> DataFrame:
@@ -191,27 +215,28 @@ def q_purchase_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_snapshot_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.mark_current_snapshot(_ledger(spark, sf))
+    return _flagged_ledger(spark, sf)
 
 
 def q_snapshot_ledger_purchase_grain(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.mark_current_snapshot(_ledger(spark, sf, grain="purchase"))
+    return _flagged_ledger(spark, sf, grain="purchase")
 
 
 def q_gmv_daily_by_subsidiary(spark: SparkSession, sf: str) -> DataFrame:
-    return _mart(spark, sf)
+    ledger, heads = _ledger_for(spark, sf, SNAPSHOT_DAYS)
+    return gold.gmv_daily(ledger, days=heads)
 
 
 def q_gmv_current(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.gmv_current(_mart(spark, sf))
+    return _on_stored_mart(spark, sf, reports.gmv_current)
 
 
 def q_gmv_latest_window(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.gmv_latest_window(_mart(spark, sf), WINDOW_START, WINDOW_END)
+    return _on_stored_mart(spark, sf, lambda mart: reports.gmv_latest_window(mart, WINDOW_START, WINDOW_END))
 
 
 def q_gmv_as_seen_on(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.gmv_as_seen_on(_mart(spark, sf), AS_SEEN_ON)
+    return _on_stored_mart(spark, sf, lambda mart: reports.gmv_as_seen_on(mart, AS_SEEN_ON))
 
 
 def backfill_days(spark: SparkSession, sf: str) -> list[dt.date]:
@@ -222,9 +247,9 @@ def backfill_days(spark: SparkSession, sf: str) -> list[dt.date]:
 
 
 def q_snapshot_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    """GMV mart for every quarter end, computed in one pass over validity intervals."""
-    ledger = _ledger_for(spark, sf, backfill_days(spark, sf))
-    return gold.gmv_daily(ledger).drop("is_current_snapshot", "transaction_date")
+    """GMV mart for every quarter end, from changes at the ends of validity intervals."""
+    ev = _all_events(spark, sf)
+    return backfill.gmv_of_days(ev["purchase"], ev["product_item"], ev["purchase_extra_info"], backfill_days(spark, sf))
 
 
 # ---------------------------------------------------------------- quality
@@ -248,37 +273,96 @@ def _deliveries(spark: SparkSession, sf: str, entity: Entity) -> tuple[DataFrame
     return ev.filter(F.col("ingestion_date") <= cut), ev.filter(F.col("ingestion_date") > cut)
 
 
-def q_lake_gmv_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """The full daily pipeline over Parquet storage, read back as the published mart.
+def _lake_gmv_daily(event_partition: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        """The full daily pipeline over Parquet storage, read back as the published mart.
 
-    Two bronze deliveries per entity (append), a first and an incremental
-    silver run (partition-scoped rewrite), gold for every snapshot day plus a
-    rerun of one day (one-partition overwrite each), then the mart view.
-    Storage lives in a fresh folder under the shared checkpoint folder.
-    """
-    # The test tables spread few rows over ~2,400 event days: month partitions.
-    lake = daily.Lake(scratch_path(spark, f"lake-{uuid.uuid4().hex}"), event_partition="month")
-    batches = {name: _deliveries(spark, sf, e) for name, e in ENTITIES.items()}
-    for step in (0, 1):
+        Two bronze deliveries per entity (append), a first and an incremental
+        silver run (partition-scoped rewrite), gold for every snapshot day plus a
+        rerun of one day (one-partition overwrite each), then the mart view.
+        """
+
+        def make(lake: daily.Lake) -> DataFrame:
+            batches = {name: _deliveries(spark, sf, e) for name, e in ENTITIES.items()}
+            for step in (0, 1):
+                for name, e in ENTITIES.items():
+                    daily.ingest(lake, batches[name][step], e, ingestion_at=F.col("ingestion_date"))
+                    daily.run_silver(spark, lake, e, line_created_at=LINE_CREATED_AT)
+            for day in (*SNAPSHOT_DAYS, SNAPSHOT_DAYS[1]):
+                daily.run_gold(spark, lake, day, snapshot_stamp(day))
+            return daily.mart_view(spark, lake)
+
+        return _stored(spark, make, event_partition)
+
+    return q
+
+
+def q_lake_rerun_day(spark: SparkSession, sf: str) -> DataFrame:
+    """A day run before most items have arrived, run again after they have, and a
+    day without any purchase: metrics with the row counts of ledger and quarantine."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        late = {}
         for name, e in ENTITIES.items():
-            daily.ingest(lake, batches[name][step], e, ingestion_at=F.col("ingestion_date"))
+            first, late[name] = _deliveries(spark, sf, e)
+            now = first if e is PRODUCT_ITEM else first.unionByName(late[name])
+            daily.ingest(lake, now, e, ingestion_at=F.col("ingestion_date"))
             daily.run_silver(spark, lake, e, line_created_at=LINE_CREATED_AT)
-    for day in (*SNAPSHOT_DAYS, SNAPSHOT_DAYS[1]):
-        daily.run_gold(spark, lake, day, snapshot_stamp(day))
-    return daily.mart_view(spark, lake)
+        days = (EMPTY_DAY, ASOF_CUTOFF)
+        for day in days:
+            daily.run_gold(spark, lake, day, snapshot_stamp(day))
+        daily.ingest(lake, late["product_item"], PRODUCT_ITEM, ingestion_at=F.col("ingestion_date"))
+        daily.run_silver(spark, lake, PRODUCT_ITEM, line_created_at=LINE_CREATED_AT)
+        for day in days:
+            daily.run_gold(spark, lake, day, snapshot_stamp(day))
+        ledger = daily.read_ledger(spark, lake).groupBy("snapshot_date").agg(F.count("*").alias("ledger_rows"))
+        held = daily.quarantine_view(spark, lake).groupBy("snapshot_date").agg(F.count("*").alias("quarantine_rows"))
+        out = daily.dq_view(spark, lake).join(ledger, "snapshot_date", "left").join(held, "snapshot_date", "left")
+        return out.na.fill(0, ["ledger_rows", "quarantine_rows"])
+
+    return _stored(spark, make)
+
+
+def q_ledger_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger as a catalog table (DDL over the stored photos), read by SQL."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        ledger = _ledger(spark, sf)
+        for day in SNAPSHOT_DAYS:  # each photo replaces its own day only
+            photo = gold.append_snapshot(None, ledger.where(F.col("snapshot_date") == F.lit(day)), day)
+            storage.replace_partitions(photo, lake.ledger, ["snapshot_date"], [day], ["transaction_date"])
+        name = f"ledger_{uuid.uuid4().hex}"
+        ddl.create_ledger_table(spark, name, lake.ledger)
+        try:
+            return storage.staged(spark.sql(
+                f"SELECT snapshot_date, count(*) AS ledger_rows, count(DISTINCT purchase_id) AS purchases, "
+                f"CAST(sum(item_quantity * purchase_value) AS DOUBLE) AS gmv_value FROM {name} GROUP BY snapshot_date"))
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    return _stored(spark, make)
+
+
+def q_bronze_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per entity that keep the bronze rules, and that are rejected."""
+    events = {n: bronze.typed_events(testmap.events_for(spark, sf, n), e) for n, e in ENTITIES.items()}
+    return bronze.reject_report(events, ENTITIES)
 
 
 def q_stream_silver_purchase(spark: SparkSession, sf: str) -> DataFrame:
     """Purchase silver maintained by an availableNow stream over two bronze deliveries."""
-    lake = daily.Lake(scratch_path(spark, f"stream-{uuid.uuid4().hex}"), event_partition="month")
-    checkpoint = f"{lake.root}/_checkpoints/silver_purchase"
-    for batch in _deliveries(spark, sf, PURCHASE):
-        daily.ingest(lake, batch, PURCHASE, ingestion_at=F.col("ingestion_date"))
-        q = silver_stream(spark, PURCHASE, lake, checkpoint, LINE_CREATED_AT)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-    return _no_clock(daily.read_silver(spark, lake, PURCHASE))
+
+    def make(lake: daily.Lake) -> DataFrame:
+        checkpoint = f"{lake.root}/_checkpoints/silver_purchase"
+        for batch in _deliveries(spark, sf, PURCHASE):
+            daily.ingest(lake, batch, PURCHASE, ingestion_at=F.col("ingestion_date"))
+            q = silver_stream(spark, PURCHASE, lake, checkpoint, LINE_CREATED_AT)
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+        return _no_clock(daily.read_silver(spark, lake, PURCHASE))
+
+    return _stored(spark, make)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -308,6 +392,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_backfill": q_snapshot_backfill,
     "quarantine_missing_items": q_quarantine_missing_items,
     "dq_metrics": q_dq_metrics,
-    "lake_gmv_daily": q_lake_gmv_daily,
+    "lake_gmv_daily": _lake_gmv_daily("month"),
+    "lake_rerun_day": q_lake_rerun_day,
+    "ledger_catalog": q_ledger_catalog,
+    "bronze_rejects": q_bronze_rejects,
     "stream_silver_purchase": q_stream_silver_purchase,
 }

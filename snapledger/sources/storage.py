@@ -103,6 +103,22 @@ def _files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _folder(spark, path)
+    return fs.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _folder(spark, path)
+    fs.mkdirs(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has made, with all below it."""
+    fs, target = _folder(spark, path)
+    fs.delete(target, True)
+
+
 def _delete_file(spark: SparkSession, path: str) -> None:
     """Delete a file if it is there, and its folder when that leaves it empty."""
     fs, target = _folder(spark, path)
