@@ -90,10 +90,12 @@ def mark_current(df: DataFrame, entity: Entity, flag: str = FLAG, key_source: Da
     several tasks. Rows keep one event per (key, event time) after
     :func:`dedup_events`, so exactly one is current; rows with a null key are
     kept and never current. ``key_source`` (the rows before deduplication) is a
-    cheaper input for finding hot keys.
+    cheaper input for the latest time and for finding hot keys.
     """
     key = list(entity.business_key)
-    latest = df.groupBy(*key).agg(F.max("transaction_datetime").alias("_latest_dt"))
+    # Deduplication keeps every event time, so the rows before it have the same maximum.
+    source = df if key_source is None else key_source
+    latest = source.groupBy(*key).agg(F.max("transaction_datetime").alias("_latest_dt"))
     return (
         salted_join(df, latest, key, "left", key_source=key_source)
         .withColumn(flag, F.coalesce(F.col("transaction_datetime") == F.col("_latest_dt"), F.lit(False)))

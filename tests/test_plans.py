@@ -65,3 +65,31 @@ def test_as_of_over_storage_prunes_partitions(spark, lake_root):
 def test_mart_current_flag_uses_scalar_subquery(spark):
     p = plan(Q.QUERIES["gmv_current"](spark, SF001))
     assert "Subquery" in p
+
+
+@pytest.mark.parametrize("name, most", [
+    ("bronze_purchase", 1), ("bronze_product_item", 1), ("bronze_extra_info", 4), ("arrival_gate", 6), ("silver_purchase", 4),
+    ("silver_purchase_two_batch", 20), ("upsert_purchase", 30), ("silver_product_item_enriched", 16), ("purchase_snapshot", 14),
+    ("snapshot_ledger", 16), ("snapshot_backfill", 21)])
+def test_scans_in_the_plan_before_it_runs(spark, name, most):
+    """Chained operators must not multiply the scans of their inputs."""
+    assert plan(Q.QUERIES[name](spark, SF001)).count("FileScan parquet") <= most
+
+
+def test_backfill_expands_no_versions_into_days(spark):
+    p = plan(Q.QUERIES["snapshot_backfill"](spark, SF001))
+    below_sums = p[p.index("Window"):]
+    assert "snapshot_date" not in below_sums  # days appear only above the running sums
+
+
+def test_stored_reports_read_one_partition(spark, lake_root):
+    from snapledger.sources import storage
+
+    lake = daily.Lake(lake_root)
+    storage.replace_partitions(spark.sql("SELECT DATE'2024-01-01' AS snapshot_date, DATE'2024-01-01' AS release_date, 'x' AS subsidiary, "
+                                         "1.0D AS gmv_value, 1L AS transaction_count"), lake.mart, ["snapshot_date"])
+    mart = daily.read_mart(spark, lake)
+    for df in (reports.gmv_current(mart), reports.gmv_latest_window(mart, "2024-01-01", "2024-02-01"), reports.gmv_as_seen_on(mart, "2024-06-01")):
+        lines = [x for x in plan(df).splitlines() if "FileScan" in x and "gmv_value" in x]
+        assert lines and all("snapshot_date" in x.split("PartitionFilters:")[1].split("]")[0] for x in lines)
+        assert df.count() == 1
