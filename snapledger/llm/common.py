@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pandas as pd
@@ -17,10 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.session import scratch_path
+from snapledger.sources.storage import remove
 
 #: Rows in one Arrow batch handed to Python. Texts are long, so batches are
 #: kept small; a batch is the unit of memory of every Python stage.
 BATCH_ROWS = 512
+#: Rows in one batch between Spark and its Python workers, at most.
+ARROW_ROWS = 1024
+ARROW_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Kept = TypeVar("Kept")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +36,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared checkpoint folder."""
-    return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
+    """A fresh folder name below the application's own part of the shared checkpoint folder."""
+    return scratch_path(spark, f"llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove the tables that this application's operators have written in between.
+
+    For the end of a job, when its results are saved: results not saved yet are
+    read from them.
+    """
+    remove(spark, scratch_path(spark, f"llm-{spark.sparkContext.applicationId}"))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,12 +64,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], Kept]) -> Kept:
+    """What a worker keeps between tasks (vocabularies, words met): of one operator at a time."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers.
+    """Make this package importable in the Python workers, and Arrow batches small
+    enough for long texts.
 
-    Does nothing where PYTHONPATH already names its folder (or the caller has
-    used ``--py-files``: a second copy does no harm).
+    The package isn't sent where PYTHONPATH already names its folder (or the
+    caller has used ``--py-files``: a second copy does no harm).
     """
+    if int(spark.conf.get(ARROW_ROWS_CONF)) > ARROW_ROWS:
+        spark.conf.set(ARROW_ROWS_CONF, str(ARROW_ROWS))
     package = Path(__file__).resolve().parent.parent
     app = spark.sparkContext.applicationId
     paths = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -67,6 +97,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def tokenizer_path(name: str) -> str:
+    """The file of a public tokenizer's name; a path is its own."""
+    if os.path.sep in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def partitions_for(spark: SparkSession, total_bytes: int, per_partition: int) -> int:
     """A partition count that follows the input, at least the session's own."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // per_partition), 1)

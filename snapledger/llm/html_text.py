@@ -58,9 +58,10 @@ CUT_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising adslot sponsor sponsored sponsors promo promos promotion banner banners cookie "
     "cookies consent gdpr notice notices notification notifications alert alerts popup modal overlay newsletter subscribe subscription "
     "signup sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments "
-    "disqus reply replies respond share sharing social related recommended recommendations widget widgets pagination pager login search "
+    "discussion feedback disqus reply replies respond share sharing social related recommended recommendations widget widgets pagination pager login search "
     "copyright skip hidden disclaimer outbrain taboola".split())
-KEEP = frozenset("html body main article".split())
+#: Names that say it of whole classes or ids, outside of articles.
+CUT_HEADS = frozenset("header site-header page-header main-header global-header top-header".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
@@ -100,8 +101,10 @@ def says_cut(tag: str, attrs: dict[str, str], inside: int) -> bool:
         return True
     if attrs.get("role", "").lower() in CUT_ROLES:
         return True
-    named = WORD.findall((attrs.get("class", "") + " " + attrs.get("id", "")).lower())
-    return tag != "main" and not CUT_WORDS.isdisjoint(named)
+    names = (attrs.get("class", "") + " " + attrs.get("id", "")).lower()
+    if tag == "main" or not names.strip():
+        return False
+    return not CUT_WORDS.isdisjoint(WORD.findall(names)) or not inside and not CUT_HEADS.isdisjoint(names.split())
 
 
 class Page:

@@ -22,13 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import map_batches
+from snapledger.llm.common import kept, map_batches, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 SPACE = "▁"
 #: Units kept per worker, and the longest kept.
-KEEP_UNITS = 500_000
+KEEP_UNITS = 350_000
 KEEP_CHARS = 64
 
 
@@ -220,18 +220,9 @@ class PieceTable(dict):
         return [int(i) for i in joined.split(",")] if joined else []
 
 
-_TABLES: dict[str, PieceTable] = {}
-
-
 def piece_table(model: str) -> PieceTable:
     """The worker's table for a model file or a public tokenizer's name."""
-    if model not in _TABLES:
-        import os
-
-        import public_tokenizers
-
-        _TABLES[model] = PieceTable(model if os.path.sep in model else public_tokenizers.path(model))
-    return _TABLES[model]
+    return kept(f"pieces {model}", lambda: PieceTable(tokenizer_path(model)))
 
 
 def encode_pieces(

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import map_batches
+from snapledger.llm.common import kept, map_batches
 
 #: Rated texts that the model is fitted on, at most.
 SAMPLE = 6000
@@ -41,7 +42,7 @@ SCORE = 4.0
 PENALTY = 0.02
 STEPS = 400
 RATE = 0.1
-KEEP_WORDS = 400_000
+KEEP_WORDS = 200_000
 
 OTHER = re.compile(r"[\W_]+")
 RUNS = re.compile(r"(.)\1+")
@@ -69,20 +70,16 @@ class Words(dict):
         names = [f"w:{core}"] if core else []
         names += [f"b{n}:{core[:n]}" for n in (4, 5) if len(core) > n]
         own = tuple(map(hashed, names))
-        out = (shape(word), own if self.only is None else tuple(f for f in own if f in self.only))
+        out = (sys.intern(shape(word)), own if self.only is None else tuple(f for f in own if f in self.only))
         if len(self) >= KEEP_WORDS:
             self.clear()
         self[word] = out
         return out
 
 
-_WORDS = Words()
-#: The worker's words by model.
-_SCORED: dict[int, Words] = {}
-
-
-def features(text: str, words: Words = _WORDS) -> set[int]:
-    """Hashed features of a whole text."""
+def features(text: str, words: Words | None = None) -> set[int]:
+    """Hashed features of a whole text; those that ``words`` knows, if given."""
+    words = kept("words", Words) if words is None else words
     counts = Counter(text.split())
     n = sum(counts.values())
     out: set[int] = set()
@@ -113,10 +110,8 @@ class OrdinalModel:
         return hash(tuple(self.weights.items()))
 
     def position(self, text: str) -> float:
-        if self.token not in _SCORED:
-            _SCORED.clear()
-            _SCORED[self.token] = Words(self.weights)
-        return math.fsum(self.weights[f] for f in features(text, _SCORED[self.token]))
+        words = kept(f"words {self.token}", lambda: Words(self.weights))
+        return math.fsum(self.weights[f] for f in features(text, words))
 
     def tails(self, text: str) -> list[float]:
         """P(grade >= k) for k = 1, 2, ..."""

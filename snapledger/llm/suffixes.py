@@ -36,7 +36,7 @@ from snapledger.llm.common import map_batches, partitions_for, written
 DEPTH = 100
 GRAM = 32
 #: Bytes hashed at once, and text bytes whose runs a task holds before it sends them.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 HOLD = 48 << 20
 #: Text bytes per first digit and per bucket of keys.
 DIGIT_BYTES = 16 << 20

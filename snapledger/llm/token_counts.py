@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import map_batches
+from snapledger.llm.common import kept, map_batches, tokenizer_path
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -133,19 +133,9 @@ class WordCounter(dict):
         return total
 
 
-_COUNTERS: dict[str, WordCounter] = {}
-
-
 def counter(tokenizer: str) -> WordCounter:
     """The worker's counter for a vocabulary file or a public tokenizer's name."""
-    if tokenizer not in _COUNTERS:
-        import os
-
-        import public_tokenizers
-
-        path = tokenizer if os.path.sep in tokenizer else public_tokenizers.path(tokenizer)
-        _COUNTERS[tokenizer] = WordCounter(path)
-    return _COUNTERS[tokenizer]
+    return kept(f"counter {tokenizer}", lambda: WordCounter(tokenizer_path(tokenizer)))
 
 
 def token_counts(

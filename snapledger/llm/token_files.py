@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import map_batches, new_folder, partitions_for
+from snapledger.llm.common import kept, map_batches, new_folder, partitions_for, tokenizer_path
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -103,15 +103,8 @@ class ChunkIds(dict):
                 for t, w in zip(texts, split, strict=True)]
 
 
-_ENCODERS: dict[str, ChunkIds] = {}
-
-
 def encoder(tokenizer: str) -> ChunkIds:
-    if tokenizer not in _ENCODERS:
-        import public_tokenizers
-
-        _ENCODERS[tokenizer] = ChunkIds(tokenizer if os.path.sep in tokenizer else public_tokenizers.path(tokenizer))
-    return _ENCODERS[tokenizer]
+    return kept(f"encoder {tokenizer}", lambda: ChunkIds(tokenizer_path(tokenizer)))
 
 
 # --- the minimal perfect hash index ----------------------------------------------

@@ -1,6 +1,7 @@
 """Quality classifier, mixing, fingerprints, page text and the pipeline."""
 
 import html
+import os
 import random
 from collections import Counter
 from hashlib import sha256
@@ -15,7 +16,7 @@ import cases
 import corpus_pipeline
 from snapledger.llm import fingerprints as FP
 from snapledger.llm import html_text, mixing, quality
-from snapledger.llm.common import row_keyed, written
+from snapledger.llm.common import forget, row_keyed, written
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -190,6 +191,12 @@ def test_copies_of_one_article_are_no_furniture(spark):
 # --- the pipeline ------------------------------------------------------------------------
 
 
+def test_forget_removes_what_was_written(spark):
+    path = written(spark.range(3), "x").inputFiles()[0]
+    forget(spark)
+    assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))
+
+
 def test_row_keyed_numbers_rows_by_key(spark):
     docs = cases.table(spark, cases.rows()).withColumn("__row", F.lit(1))
     rows, name = row_keyed(docs, "doc_id")
