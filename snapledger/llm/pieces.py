@@ -28,7 +28,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 SPACE = "▁"
 #: Units kept per worker, and the longest kept.
-KEEP_UNITS = 350_000
+KEEP_UNITS = 450_000
 KEEP_CHARS = 64
 
 
