@@ -9,7 +9,10 @@
    few lists change.
 3. Lists that were saturated belong to dense groups. The groups that the lists
    connect are compared as a whole, block by block, which enlarges every list to
-   its group: links are counted there with double precision, never listed.
+   its group: links are counted there with double precision, never listed. Lists
+   that are full of links can hide links to other groups; such groups are balls
+   around their first vector, and balls that a link can reach across are compared
+   as one group.
 4. Recall is audited: a bounded sample of vectors is compared with all vectors of
    its labels. Below the target, the search runs again with more projections and
    longer lists, joined to the lists found so far.
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapledger.functions.skew import salted_join
 from snapledger.llm.common import map_batches, written
 from snapledger.llm.components import connected_components, forest
 
@@ -212,10 +216,61 @@ def search_lists(vectors: DataFrame, seed: int, tables: int, k: int, enlarged: i
     return lists
 
 
-def group_links(vectors: DataFrame, lists: DataFrame, link: float, group: float) -> tuple[DataFrame, DataFrame]:
-    """Links counted inside the groups that the lists connect: ``rid, n_links`` and
-    forest edges of the links."""
-    groups = connected_components(lists.where(F.col("sim") >= group - 1e-4).select(F.col("u").alias("a"), F.col("v").alias("b")))
+def angle(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+
+def whole_groups(vectors: DataFrame, lists: DataFrame, k: int, link: float, group: float) -> DataFrame:
+    """``node, component``: groups that hold every link of a vector whose list is full.
+
+    The groups are those that the lists connect. Where a list holds ``k`` vectors
+    above the group bound, it may have no place for links to another group: such a
+    group is a ball around its first vector, with the angle of its farthest one as
+    radius, and balls nearer to each other than both radii and a link's angle are
+    one group. All balls of a label are compared, block by block.
+    """
+    edges = lists.where(F.col("sim") >= group - 1e-4).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    groups = written(connected_components(edges), "groups")
+    full = lists.where((F.col("rank") == k) & (F.col("sim") >= group - 1e-4)).select(F.col("u").alias("node"))
+    crowded = written(groups.join(full, "node").select("component").distinct(), "full-groups")
+    inside = groups.join(crowded, "component")
+    members = vectors.select("rid", "vec").join(inside, F.col("rid") == F.col("node")).select("component", "rid", "vec")
+    centres = vectors.join(crowded, F.col("rid") == F.col("component")).select("component", "label", F.col("vec").alias("centre"))
+
+    def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cosines = [np.einsum("ij,ij->i", matrix([x]), matrix([y])) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            radii = angle(np.concatenate(cosines)) if cosines else np.empty(0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(radii, pa.float64())], ["component", "radius"])
+
+    pairs = salted_join(members, centres.select("component", "centre"), ["component"], key_source=inside)
+    radii = map_batches(pairs.select("component", "vec", "centre"), far, "component long, radius double").groupBy("component").agg(F.max("radius").alias("radius"))
+    balls = written(centres.join(radii, "component"), "balls")
+    sizes = balls.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    placed = balls.join(sizes, "label").withColumn("part", F.pmod(F.xxhash64("component"), F.col("parts")).cast("int"))
+    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "label", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "component", "radius", "centre")
+    ready = tiles.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "component")
+    reach = float(angle(np.array(link))) + 1e-6
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for starts, (_, _, _, names, radii, centres) in sorted_groups(batches, 3):
+            ends = np.append(starts[1:], len(names))
+            for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+                r, x = np.array(radii[s:e]), matrix(centres[s:e])
+                i, j = np.nonzero(np.triu(angle(x @ x.T) <= r[:, None] + r[None, :] + reach, 1))
+                if len(i):
+                    own = np.array(names[s:e], np.int64)
+                    a, b = forest(own[i], own[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    across = map_batches(ready, meet, "a long, b long")
+    return connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(across))
+
+
+def group_links(vectors: DataFrame, groups: DataFrame, link: float) -> tuple[DataFrame, DataFrame]:
+    """Links counted inside groups (``node, component``): ``rid, n_links`` and forest
+    edges of the links."""
     members = vectors.select("rid", "vec").join(groups, F.col("rid") == F.col("node")).select("component", "rid", "vec")
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     placed = members.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
@@ -294,7 +349,7 @@ def vector_links(
     for turn in range(SEARCHES):
         more = 2**turn
         lists = search_lists(known, SEED + 100 * turn, tables * more, k * more, ENLARGED * more, group, lists)
-        links, edges = group_links(known, lists, link, group)
+        links, edges = group_links(known, whole_groups(known, lists, k * more, link, group), link)
         found, every = audited(known, links, link, AUDIT)
         if found >= recall * every:
             break

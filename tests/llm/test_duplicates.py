@@ -147,3 +147,19 @@ def test_vector_links(spark, monkeypatch, data):
     got = neighbours.vector_links(df)
     assert sorted(map(tuple, got.collect())) == want
     assert not data or sum(w[1] for w in want) > 1000
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.002])
+def test_tight_groups_that_link_across(spark, spread):
+    """Two groups of 100 at cosine 0.985: every list is full of its own group."""
+    rng = np.random.default_rng(12)
+    a = np.eye(16)[0]
+    b = 0.985 * a + np.sqrt(1 - 0.985**2) * np.eye(16)[1]
+    x = np.array([a] * 100 + [b] * 100 + [np.eye(16)[2]] * 100) + spread * rng.standard_normal((300, 16))
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.98
+    df = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "vec_id long, label int, embedding array<double>")
+    got = sorted(map(tuple, neighbours.vector_links(df).collect()))
+    low = cases.pages_of(list(range(300)), lambda i, j: bool(near[i, j]))
+    assert got == [(i, int(near[i].sum()) - 1, low[i], low[i] == i) for i in range(300)]
+    assert low[199] == 0 and got[0][1] > 150
