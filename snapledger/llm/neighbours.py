@@ -13,9 +13,11 @@
    that are full of links can hide links to other groups; such groups are balls
    around their first vector, and balls that a link can reach across are compared
    as one group.
-4. Recall is audited: a bounded sample of vectors is compared with all vectors of
-   its labels. Below the target, the search runs again with more projections and
-   longer lists, joined to the lists found so far.
+4. Recall is audited vector by vector: a bounded sample, dealt to labels and to
+   classes of link counts, is compared with all vectors of its labels. Below the
+   target, the search runs again with more projections and longer lists, joined to
+   the lists found so far; labels still short after the last search are compared
+   whole, block by block.
 """
 
 from __future__ import annotations
@@ -301,13 +303,18 @@ def group_links(vectors: DataFrame, groups: DataFrame, link: float) -> tuple[Dat
     return links, counted.where("to <> -1").select(F.col("rid").alias("a"), F.col("to").alias("b"))
 
 
-def audited(vectors: DataFrame, links: DataFrame, link: float, sample: int) -> tuple[int, int]:
-    """Links found, and all links, of a sample compared with all vectors.
+def audited(vectors: DataFrame, links: DataFrame, link: float, sample: int) -> tuple[float, list[str]]:
+    """Recall of a sample compared with all vectors, and the labels in which a link is missing.
 
-    At most ``sample`` vectors, chosen by hash, are handed to the tasks.
+    At most ``sample`` vectors are handed to the tasks, chosen by hash and in turn
+    from each label's vectors without links, with one, with two or three, and so
+    on. A vector's recall is the share of its links that were found; the result is
+    the mean of the worst label or class.
     """
     rows = vectors.join(links, "rid", "left").select("rid", "label", "vec", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    asked = rows.orderBy(F.xxhash64("rid"), "rid").limit(sample).collect()
+    rows = rows.withColumn("size", F.floor(F.log2(F.col("n_links") + 1)))
+    turn = F.row_number().over(Window.partitionBy("label", "size").orderBy(F.xxhash64("rid"), "rid"))
+    asked = rows.withColumn("turn", turn).where(F.col("turn") <= sample).orderBy("turn", F.xxhash64("rid"), "rid").limit(sample).collect()
     queries: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for name in {r["label"] for r in asked}:
         own = [r for r in asked if r["label"] == name]
@@ -316,16 +323,23 @@ def audited(vectors: DataFrame, links: DataFrame, link: float, sample: int) -> t
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             labels = np.array(b.column(1).to_pylist(), object)
-            total = 0
             for name in set(labels.tolist()) & set(queries):
                 at = np.flatnonzero(labels == name)
                 near = matrix(b.column(2).take(pa.array(at))) @ queries[name][1].T >= link
                 near &= np.asarray(b.column(0), np.int64)[at][:, None] != queries[name][0][None, :]
-                total += int(near.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
+                n = near.sum(axis=0)
+                met = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(queries[name][0][met]), pa.array(n[met])], ["rid", "n"])
 
-    every = map_batches(vectors.select("rid", "label", "vec"), compare, "n long").agg(F.sum("n")).first()[0] or 0
-    return sum(r["n_links"] for r in asked), every
+    true = map_batches(vectors.select("rid", "label", "vec"), compare, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
+    every = {r["rid"]: r["n"] for r in true.collect()}
+    shares: dict[tuple, list[float]] = {}
+    for r in asked:
+        n = every.get(r["rid"], 0)
+        for kind in (("label", r["label"]), ("links", n.bit_length())):
+            shares.setdefault(kind, []).append(min(1.0, r["n_links"] / n) if n else 1.0)
+    short = sorted({r["label"] for r in asked if r["n_links"] < every.get(r["rid"], 0)})
+    return min((float(np.mean(x)) for x in shares.values()), default=1.0), short
 
 
 def vector_links(
@@ -349,10 +363,16 @@ def vector_links(
     for turn in range(SEARCHES):
         more = 2**turn
         lists = search_lists(known, SEED + 100 * turn, tables * more, k * more, ENLARGED * more, group, lists)
-        links, edges = group_links(known, whole_groups(known, lists, k * more, link, group), link)
-        found, every = audited(known, links, link, AUDIT)
-        if found >= recall * every:
+        groups = whole_groups(known, lists, k * more, link, group)
+        links, edges = group_links(known, groups, link)
+        found, short = audited(known, links, link, AUDIT)
+        if found >= recall:
             break
+    else:
+        labels = known.where(F.col("label").isin(short))
+        first = labels.groupBy("label").agg(F.min("rid").alias("component"))
+        whole = labels.join(F.broadcast(first), "label").select(F.col("rid").alias("node"), "component")
+        links, edges = group_links(known, groups.join(whole, "node", "left_anti").union(whole), link)
     groups = connected_components(edges)
     marked = rows.select("rid", "key").join(links, "rid", "left").join(groups, F.col("rid") == F.col("node"), "left")
     marked = written(marked.select("key", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "rid").alias("component")), "vector-links")

@@ -163,3 +163,20 @@ def test_tight_groups_that_link_across(spark, spread):
     low = cases.pages_of(list(range(300)), lambda i, j: bool(near[i, j]))
     assert got == [(i, int(near[i].sum()) - 1, low[i], low[i] == i) for i in range(300)]
     assert low[199] == 0 and got[0][1] > 150
+
+
+def test_small_groups_count_in_the_audit(spark, monkeypatch):
+    """A third of the rows in one group, and searches that miss the pairs: they are found by the audit."""
+    rng = np.random.default_rng(13)
+    pairs = np.repeat(rng.standard_normal((100, 32)), 2, axis=0)
+    x = np.concatenate([np.repeat(rng.standard_normal((1, 32)), 100, axis=0), pairs])
+    df = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "vec_id long, label int, embedding array<double>")
+    rows = neighbours.unit_vectors(df, "vec_id", "label", "embedding")
+    known = rows.select("rid", "label", "vec")
+    dense = spark.createDataFrame([(r["rid"], 99) for r in rows.where("key < 100").collect()], "rid long, n_links long")
+    found, short = neighbours.audited(known, dense, 0.98, 512)
+    assert found < 0.5 and len(short) == 1
+    lost = lambda *_: spark.createDataFrame([], "u long, v long, sim float, rank int")
+    monkeypatch.setattr(neighbours, "search_lists", lost)
+    got = sorted(map(tuple, neighbours.vector_links(df).collect()))
+    assert got == [(i, 99, 0, i == 0) if i < 100 else (i, 1, i - i % 2, i % 2 == 0) for i in range(300)]
