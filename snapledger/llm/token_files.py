@@ -23,7 +23,8 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ END_ID = 2
 
 #: Text bytes a shard is meant to hold.
 SHARD_BYTES = 32 << 20
+#: Signs of a text that order the rows of a repeated key, before its hash.
+PREFIX = 128
 
 MAGIC = b"TOKIDX01"
 #: Levels before the few keys left are listed one by one.
@@ -235,7 +238,7 @@ def store(uri: str) -> tuple[fs.FileSystem, str]:
     return found, path
 
 
-def put_whole(folder: str, name: str, chunks: list[bytes]) -> None:
+def put_whole(folder: str, name: str, chunks: Iterable[bytes]) -> None:
     """Write under a name of this attempt's own, then rename."""
     files, base = store(folder)
     files.create_dir(base, recursive=True)
@@ -260,43 +263,50 @@ def write_token_files(
 
     The manifest has one row per shard, in key order: ``shard, n_docs,
     n_tokens, start`` (ids in the shards before it). Rows are ordered by key,
-    repeated keys by text; null keys come last. A null text counts as empty.
+    repeated keys by the first ``PREFIX`` signs of the text, then by its hash; null
+    keys come last. A key of many rows runs over several shards. A null text counts as empty.
     An empty table gives an empty manifest and no files. Other columns are not
     read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    order = [F.col("key").asc_nulls_last(), F.col("text")]
-    # All rows of a key in one shard: ranges are cut by key alone.
-    spread = rows.repartitionByRange(partitions_for(spark, total, shard_bytes), F.col("key").asc_nulls_last())
+    # Equal texts of a key are told apart by their place in the input, so any key can be cut.
+    rows = rows.select("key", "text", F.substring("text", 1, PREFIX).alias("prefix"), F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("place"))
+    order = [F.col("key").asc_nulls_last(), F.col("prefix"), F.col("hash"), F.col("place")]
+    spread = rows.repartitionByRange(partitions_for(spark, total, shard_bytes), *order).sortWithinPartitions(*order).select("key", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         enc = encoder(tokenizer)
         end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
-        keys: list[np.ndarray] = []
-        raw: list[bytes] = []
-        n = 0
-        for b in batches:
-            known = b.column(0).drop_null()
-            keys.append(np.asarray(known, np.int64))
-            raw += [r + end for r in enc.encode(b.column(1).to_pylist())]
-            n += b.num_rows
-        if not n:
-            return
-        shard = TaskContext.get().partitionId()
         size = enc.dtype.itemsize
-        lengths = np.array([len(r) // size for r in raw], np.int64)
+        shard = TaskContext.get().partitionId()
+        full = (b for b in batches if b.num_rows)
+        first = next(full, None)
+        if first is None:
+            return
+        keys: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+
+        def ids() -> Iterator[bytes]:
+            for b in chain([first], full):
+                raw = [r + end for r in enc.encode(b.column(1).to_pylist())]
+                keys.append(np.asarray(b.column(0).drop_null(), np.int64))
+                sizes.append(np.array([len(r) // size for r in raw], np.int64))
+                yield b"".join(raw)
+
+        put_whole(folder, f"shard-{shard:06d}.ids", ids())
+        lengths = np.concatenate(sizes)
+        n = len(lengths)
         index = ShardIndex.build(np.concatenate(keys), lengths, size)
-        put_whole(folder, f"shard-{shard:06d}.ids", raw)
         put_whole(folder, f"shard-{shard:06d}.idx", [index.to_bytes()])
         yield pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int32()), pa.array([n], pa.int64()), pa.array([int(lengths.sum())], pa.int64())],
             ["shard", "n_docs", "n_tokens"])
 
-    made = map_batches(spread.sortWithinPartitions(*order), write, "shard int, n_docs long, n_tokens long")
+    made = map_batches(spread, write, "shard int, n_docs long, n_tokens long")
     path = new_folder(spark, "token-manifest")
     made.write.parquet(path)  # one row per shard
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

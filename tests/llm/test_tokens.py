@@ -95,3 +95,18 @@ def test_files_are_keyed(spark, tmp_path):
         index = ShardIndex.from_bytes((tmp_path / name.replace(".ids", ".idx")).read_bytes())
         assert (index.rows(np.unique(index.keys))[1] == 1).all()
     assert read_token_files(manifest, str(tmp_path)).count() == docs.count()
+
+
+@pytest.mark.parametrize("key", [5, None])
+def test_a_hot_key_runs_over_several_shards(spark, tmp_path, key):
+    data = [(key, "the same words") for _ in range(300)] + [(key, "z" * 200 + str(i)) for i in range(300)] + [(i, "other") for i in range(600, 1200)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    manifest = write_token_files(docs, str(tmp_path), shard_bytes=4000)
+    shards = [r["n_docs"] for r in manifest.collect()]
+    assert sum(shards) == 1200 and max(shards) < 200
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = sorted((str(k), zlib.crc32(np.array([*lib.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes())) for k, t in data)
+    got = sorted(read_token_files(manifest, str(tmp_path)).collect(), key=lambda r: r["start"])
+    assert sorted((str(r["doc_id"]), r["ids_crc32"]) for r in got) == want
+    assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got[:-1]]]).tolist()
+    assert [r["doc_id"] for r in got] == sorted((k for k, _ in data), key=lambda k: (k is None, k or 0))
