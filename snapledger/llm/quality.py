@@ -186,11 +186,15 @@ def ratings(labels: DataFrame, key: str = "doc_id", quality: str = "quality", to
 
 
 def fit_on(docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", top: int = 2, sample: int = SAMPLE) -> OrdinalModel:
-    """Fit on the texts of at most ``sample`` ratings (``key, grade``), by a hash of the key."""
+    """Fit on one text of each of at most ``sample`` ratings (``key, grade``), by a hash of the key.
+
+    Of the texts of a repeated key, the one with the least hash.
+    """
     chosen = rated.orderBy(F.xxhash64("key"), "key").limit(sample)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     # The sample has at most ``sample`` rows of two numbers.
-    own = rows.join(F.broadcast(chosen), "key").select("key", "grade", "text")
+    met = rows.join(F.broadcast(chosen), "key").withColumn("text", F.coalesce("text", F.lit("")))
+    own = met.groupBy("key", "grade").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one")).select("key", "grade", "one.text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

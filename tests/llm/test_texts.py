@@ -64,6 +64,15 @@ def test_ratings_take_the_worst(spark):
     assert {r["key"]: r["grade"] for r in quality.ratings(labels).collect()} == {1: 1, 2: 0, 3: 2, 4: 0}
 
 
+def test_one_text_of_a_repeated_key_is_fitted(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i % 50}") for i in range(500)] + [(2, "other"), (3, None), (4, "unrated")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda texts, grades, top: fitted.append((len(texts), grades)))
+    quality.fit_on(docs, quality.ratings(labels))
+    assert fitted == [(3, [2, 1, 0])]
+
+
 def test_model_thresholds_ascend():
     rows = rated(200, 3)
     m = quality.fit([quality.packed(r[1]) for r in rows], [0 if r[3] else 1 + r[2] for r in rows], 2)
