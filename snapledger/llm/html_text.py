@@ -60,6 +60,9 @@ CUT_WORDS = frozenset(
     "signup sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments "
     "discussion feedback disqus reply replies respond share sharing social related recommended recommendations widget widgets pagination pager login search "
     "copyright skip hidden disclaimer outbrain taboola".split())
+#: First words that deny a name or make it a state or a subject, last words that do.
+NOT_HEADS = frozenset("no not non has have is with without category tag topic format".split())
+NOT_TAILS = frozenset("open opened closed on off enabled disabled layout page wrapper container".split())
 #: Names that say it of whole classes or ids, outside of articles.
 CUT_HEADS = frozenset("header site-header page-header main-header global-header top-header".split())
 
@@ -78,10 +81,10 @@ def digest(s: str) -> int:
 class Element:
     """An open element: its style path and where it lies."""
 
-    __slots__ = ("tag", "path", "above", "cut", "inside", "children")
+    __slots__ = ("tag", "path", "above", "cut", "inside", "named", "children")
 
-    def __init__(self, tag: str, path: int, above: tuple[int, ...], cut: bool, inside: int) -> None:
-        self.tag, self.path, self.above, self.cut, self.inside = tag, path, above, cut, inside
+    def __init__(self, tag: str, path: int, above: tuple[int, ...], cut: bool, inside: int, named: tuple[int, ...] = ()) -> None:
+        self.tag, self.path, self.above, self.cut, self.inside, self.named = tag, path, above, cut, inside, named
         self.children: list[str] = []
 
 
@@ -101,10 +104,20 @@ def says_cut(tag: str, attrs: dict[str, str], inside: int) -> bool:
         return True
     if attrs.get("role", "").lower() in CUT_ROLES:
         return True
-    names = (attrs.get("class", "") + " " + attrs.get("id", "")).lower()
-    if tag == "main" or not names.strip():
+    return False
+
+
+def named_cut(tag: str, attrs: dict[str, str], inside: int) -> bool:
+    """Whether a class name or id, by its first or last word, says that an element is no main text."""
+    if tag in ("html", "body", "main"):
         return False
-    return not CUT_WORDS.isdisjoint(WORD.findall(names)) or not inside and not CUT_HEADS.isdisjoint(names.split())
+    for name in (attrs.get("class", "") + " " + attrs.get("id", "")).lower().split():
+        words = WORD.findall(name)
+        if not inside and name in CUT_HEADS:
+            return True
+        if words and words[0] not in NOT_HEADS and words[-1] not in NOT_TAILS and not CUT_WORDS.isdisjoint((words[0], words[-1])):
+            return True
+    return False
 
 
 class Page:
@@ -115,6 +128,10 @@ class Page:
         self.blocks: list[tuple[str, int, tuple[int, ...], int]] = []
         #: path -> (paths above, orders of children)
         self.nodes: dict[int, tuple[tuple[int, ...], list[str]]] = {}
+        #: For each block and each closed element, the branches above it whose names say they are no main text.
+        self.named: list[tuple[int, ...]] = []
+        self.closed: list[tuple[int, tuple[int, ...], str, tuple[int, ...]]] = []
+        self.branches = 0
         self.stack = [Element("", 0, (), False, 0)]
         self.text: list[str] = []
         at, n = 0, len(source)
@@ -140,6 +157,22 @@ class Page:
             self.data(source[at:])
         self.pop_to(1)
         self.flush()
+        self.settle()
+
+    def settle(self) -> None:
+        """Cut the branches whose names say so, but none that holds most of the page's
+        text, unless an article or main element stands outside such branches."""
+        sizes = [0] * self.branches
+        for b, named in zip(self.blocks, self.named, strict=True):
+            for i in named:
+                sizes[i] += len(b[0])
+        size = sum(len(b[0]) for b in self.blocks)
+        told = any(b[3] and not named for b, named in zip(self.blocks, self.named, strict=True))
+        cut = {i for i, n in enumerate(sizes) if told or n <= MOST_CUT * size}
+        self.blocks = [b for b, named in zip(self.blocks, self.named, strict=True) if cut.isdisjoint(named)]
+        for path, above, order, named in self.closed:
+            if cut.isdisjoint(named):
+                self.nodes.setdefault(path, (above, []))[1].append(order)
 
     def data(self, s: str) -> None:
         if not self.stack[-1].cut:
@@ -152,6 +185,7 @@ class Page:
             if words:
                 top = self.stack[-1]
                 self.blocks.append((" ".join(words), top.path, top.above, top.inside))
+                self.named.append(top.named)
 
     def pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
@@ -159,7 +193,7 @@ class Page:
                 self.flush()
             e = self.stack.pop()
             if e.tag in BLOCKS and not e.cut:
-                self.nodes.setdefault(e.path, (e.above, []))[1].append(",".join(e.children))
+                self.closed.append((e.path, e.above, ",".join(e.children), e.named))
 
     def start(self, tag: str, raw: str) -> None:
         if tag == "br":
@@ -188,13 +222,20 @@ class Page:
         attrs = attributes(raw) if raw.strip(" /\n\t") else {}
         inside = max(up.inside, 2 if tag == "article" else 1 if tag == "main" or attrs.get("role") == "main" else 0)
         cut = up.cut or says_cut(tag, attrs, up.inside)
+        named = up.named
+        if not cut and named_cut(tag, attrs, up.inside):
+            if block:
+                named = (*named, self.branches)
+                self.branches += 1
+            else:
+                cut = True
         if block:
             style = DIGITS.sub("#", f"{tag}.{attrs.get('class', '')}#{attrs.get('id', '')}")
             if not up.children or up.children[-1] != tag:
                 up.children.append(tag)
-            self.stack.append(Element(tag, digest(f"{up.path}>{style}"), (*up.above, up.path), cut, inside))
+            self.stack.append(Element(tag, digest(f"{up.path}>{style}"), (*up.above, up.path), cut, inside, named))
         else:
-            self.stack.append(Element(tag, up.path, up.above, cut, inside))
+            self.stack.append(Element(tag, up.path, up.above, cut, inside, named))
             self.stack[-1].children = up.children
 
     def end(self, tag: str) -> None:

@@ -197,6 +197,19 @@ def test_copies_of_one_article_are_no_furniture(spark):
     assert {r["text"] for r in got} == {"Same words on every page.\n\nAnd these."}
 
 
+@pytest.mark.parametrize("start", [
+    "<div class='content no-sidebar'>", "<div id='page' class='has-banner'>", "<article class='post comments-open category-social'>",
+    "<section class='aside-layout'>", "<div class='sidebar-left'>"])
+def test_names_do_not_cut_the_whole_text(start):
+    page = html_text.Page(f"<body><div class=menu>Home</div>{start}<h1>Title</h1><p>The words of the text.</p><div class='comment-list'>no</div>")
+    assert page.main_text(frozenset()) == "Title\n\nThe words of the text."
+
+
+def test_long_comments_beside_an_article_are_cut():
+    page = html_text.Page("<article><p>Short text.</p></article><div id=comments>" + "<article class=comment><p>long remark</p></article>" * 20 + "</div>")
+    assert page.main_text(frozenset()) == "Short text."
+
+
 # --- the pipeline ------------------------------------------------------------------------
 
 
