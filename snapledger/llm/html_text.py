@@ -247,19 +247,20 @@ class Page:
             if not block and self.stack[k].tag in BLOCKS:
                 return
 
-    def main(self) -> list[tuple[str, int, tuple[int, ...], int]]:
-        """The blocks of the articles, else of the main element, else of the body."""
-        level = max((b[3] for b in self.blocks), default=0)
-        return [b for b in self.blocks if b[3] == level]
-
     def main_text(self, cut: frozenset[int]) -> str:
-        blocks = self.main()
-        if cut:
-            left = [b for b in blocks if b[1] not in cut and cut.isdisjoint(b[2])]
-            size = sum(len(b[0]) for b in blocks)
-            most = MOST_CUT if blocks and blocks[0][3] else 1.0
-            if left and size - sum(len(b[0]) for b in left) <= most * size:
-                blocks = left
+        """The blocks that the style tree leaves; those of articles and main elements
+        alone where they hold most of that text."""
+        def size(blocks: list) -> int:
+            return sum(len(b[0]) for b in blocks)
+
+        left = [b for b in self.blocks if b[1] not in cut and cut.isdisjoint(b[2])] or self.blocks
+        told = [b for b in left if b[3]]
+        if size(told) > MOST_CUT * size(left):
+            whole, left = [b for b in self.blocks if b[3]], told
+            most = MOST_CUT
+        else:
+            whole, most = self.blocks, 1.0
+        blocks = left if size(whole) - size(left) <= most * size(whole) else whole
         return "\n\n".join(b[0] for b in blocks)
 
 

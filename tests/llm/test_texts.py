@@ -210,6 +210,17 @@ def test_long_comments_beside_an_article_are_cut():
     assert page.main_text(frozenset()) == "Short text."
 
 
+@pytest.mark.parametrize("body, want", [
+    ("<main><p>The long text of the page stands here.</p><p>And goes on.</p><article class=card><p>Read next</p></article></main>",
+     "The long text of the page stands here.\n\nAnd goes on.\n\nRead next"),
+    ("<div><p>The long text of the page stands here.</p></div><article class=card><p>Read next</p></article>",
+     "The long text of the page stands here.\n\nRead next"),
+    ("<main><h1>Title</h1><p>Lead.</p><article><p>The long text of the page stands here.</p></article></main><p>outside</p>",
+     "Title\n\nLead.\n\nThe long text of the page stands here.")])
+def test_a_teaser_does_not_replace_the_text(body, want):
+    assert html_text.Page(f"<body>{body}</body>").main_text(frozenset()) == want
+
+
 # --- the pipeline ------------------------------------------------------------------------
 
 
