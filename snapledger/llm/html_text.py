@@ -33,6 +33,10 @@ DAMP = 0.9
 #: A cut that would leave a page without text is not made, nor one that would take
 #: more than this share of an article or main element.
 MOST_CUT = 0.5
+#: The same for pages whose text is not in such elements.
+MOST_CUT_BODY = 0.8
+#: Pages that are the same in this share of their text, longest blocks first, are copies.
+COPIED = 0.9
 
 # Element names of HTML by how they are laid out.
 BLOCKS = frozenset(
@@ -247,6 +251,16 @@ class Page:
             if not block and self.stack[k].tag in BLOCKS:
                 return
 
+    def content(self) -> int:
+        """Hash of the page's text without numbers and without its shortest blocks."""
+        size, held, out = sum(len(b[0]) for b in self.blocks), 0, []
+        for text in sorted((b[0] for b in self.blocks), key=lambda x: (-len(x), x)):
+            if held >= COPIED * size:
+                break
+            held += len(text)
+            out.append(DIGITS.sub("#", text))
+        return digest("\n".join(sorted(out)))
+
     def main_text(self, cut: frozenset[int]) -> str:
         """The blocks that the style tree leaves; those of articles and main elements
         alone where they hold most of that text."""
@@ -259,16 +273,16 @@ class Page:
             whole, left = [b for b in self.blocks if b[3]], told
             most = MOST_CUT
         else:
-            whole, most = self.blocks, 1.0
+            whole, most = self.blocks, MOST_CUT_BODY
         blocks = left if size(whole) - size(left) <= most * size(whole) else whole
         return "\n\n".join(b[0] for b in blocks)
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """One row per page and style node: ``host, path, above, variant, content``.
+    """One row per page and style node: ``host, path, above, variant, content, page``.
 
     ``variant``: hash of the orders of children; ``content``: hash of the text
-    directly in the node, null if it has none.
+    directly in the node, null if it has none; ``page``: hash of the page's content.
     """
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,17 +290,18 @@ def style_nodes(pages: DataFrame) -> DataFrame:
             out = []
             for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 page = Page(source)
+                whole = page.content()
                 texts: dict[int, list[str]] = {}
                 for text, path, _, _ in page.blocks:
                     texts.setdefault(path, []).append(text)
                 for path, (above, orders) in page.nodes.items():
                     own = texts.get(path)
-                    out.append((host, path, list(above), digest("|".join(dict.fromkeys(orders))), digest("\n".join(own)) if own else None))
-            kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-            cols = zip(*out, strict=True) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "path", "above", "variant", "content"])
+                    out.append((host, path, list(above), digest("|".join(dict.fromkeys(orders))), digest("\n".join(own)) if own else None, whole))
+            kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
+            cols = zip(*out, strict=True) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "path", "above", "variant", "content", "page"])
 
-    return map_batches(pages.select("host", "html"), nodes, "host string, path long, above array<long>, variant long, content long")
+    return map_batches(pages.select("host", "html"), nodes, "host string, path long, above array<long>, variant long, content long, page long")
 
 
 def unimportant(nodes: DataFrame, least_pages: int = LEAST_PAGES, importance: float = IMPORTANCE) -> DataFrame:
@@ -295,6 +310,8 @@ def unimportant(nodes: DataFrame, least_pages: int = LEAST_PAGES, importance: fl
     Every step is a partially aggregated count or sum, so a host with very many
     pages is reduced in the map tasks.
     """
+    # Copies of a page count once: a text on many copies is no furniture.
+    nodes = nodes.groupBy("host", "path", "above", "page").agg(F.min("variant").alias("variant"), F.min("content").alias("content"))
     # Presentation: entropy of the orders of children, to the base of the pages.
     variants = nodes.groupBy("host", "path", "variant").agg(F.count("*").alias("k"), F.first("above").alias("above"))
     shown = variants.groupBy("host", "path").agg(

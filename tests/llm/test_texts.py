@@ -221,6 +221,14 @@ def test_a_teaser_does_not_replace_the_text(body, want):
     assert html_text.Page(f"<body>{body}</body>").main_text(frozenset()) == want
 
 
+def test_copies_with_a_line_of_their_own_keep_the_article(spark):
+    words = "The same article stands on most pages of this host, with all its many words."
+    rows = [(i, "http://copies.example/" + str(i), f"<body><div class=m><p>{words}</p></div><div class=f><p>Page {i}</p></div></body>") for i in range(30)]
+    rows += [(100 + i, "http://copies.example/x", f"<body><div class=m><p>{cases.prose(random.Random(i), 30)}</p></div><div class=f><p>Page {i}</p></div></body>") for i in range(4)]
+    got = html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(words in r["text"] for r in got if r["page_id"] < 100)
+
+
 # --- the pipeline ------------------------------------------------------------------------
 
 
