@@ -160,6 +160,17 @@ DQ_SCHEMA = _schema(
     ("snapshot_datetime", TS),
 )
 
+# Exact sums behind the mart of a day as it is known now.
+RESTATED_SCHEMA = _schema(
+    ("release_date", T.DateType()),
+    ("subsidiary", T.StringType()),
+    ("purchases", T.LongType()),
+    ("rows", T.LongType()),
+    ("gmv", T.DecimalType(38, 2)),
+    ("snapshot_date", T.DateType()),
+)
+DAYS_SCHEMA = _schema(("snapshot_date", T.DateType()))
+
 MARK_SCHEMA = _schema(("mark", TS))
 
 MART_SCHEMA = _schema(

@@ -41,6 +41,19 @@ def incremental_slice(
     return bronze.filter(F.col("ingestion_date") > ntz(since))
 
 
+def not_held(increment: DataFrame, silver: DataFrame, entity: Entity) -> DataFrame:
+    """Bronze rows that silver doesn't hold exactly as delivered.
+
+    Every bronze column is compared, the payload too: a redelivery with the stamp of
+    the first one but other values has to reach deduplication.
+    """
+    held = silver.select(*(F.col("bronze_ingestion_date" if c == "ingestion_date" else c).alias(f"_held_{c}") for c in increment.columns))
+    same = F.lit(True)
+    for c in increment.columns:
+        same = same & increment[c].eqNullSafe(held[f"_held_{c}"])
+    return increment.join(held, same, "left_anti")
+
+
 def prepare_increment(
     increment: DataFrame, entity: Entity, line_created_at: Column | dt.datetime | None = None
 ) -> DataFrame:

@@ -5,9 +5,13 @@ Layout under ``root`` (all Parquet):
 - ``bronze/<entity>``        append-only, partitioned by transaction_date
 - ``bronze_rejects/<entity>`` rows failing the bronze rules
 - ``silver/<entity>``        dedup history + is_current_record, by transaction_date
+- ``silver_index/<entity>``  key ranges and Bloom filters of each silver partition
+- ``silver_states/<entity>`` (``states``) validity intervals, by the months of their ends
+- ``silver_changes/<entity>`` (``changes``) what merges have replaced since the last restatement
 - ``gold/ledger``            one immutable photo per snapshot_date (partitioned by it)
 - ``gold/gmv_daily_by_subsidiary``, ``gold/quarantine_missing_items``,
   ``gold/dq_gmv_run_metrics``  one partition per snapshot_date
+- ``gold/gmv_restated``      exact sums of chosen days as they are known now
 
 Each step is idempotent: re-running a day replaces exactly that day's
 partitions; silver re-processing is absorbed by deduplication.
@@ -29,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.functions.columns import as_date, ntz, session_clock
-from snapledger.model import DQ_SCHEMA, ENTITIES, LEDGER_SCHEMA, MARK_SCHEMA, MART_SCHEMA, QUARANTINE_SCHEMA, Entity
-from snapledger.operators import asof, bronze, gold, quality, silver
+from snapledger.model import (
+    DAYS_SCHEMA, DQ_SCHEMA, ENTITIES, LEDGER_SCHEMA, MARK_SCHEMA, MART_SCHEMA, QUARANTINE_SCHEMA, RESTATED_SCHEMA, Entity)
+from snapledger.operators import asof, backfill, bronze, gold, keyindex, quality, silver, states
 from snapledger.sources import storage
 
 
@@ -40,6 +45,10 @@ class Lake:
     event_partition: str = "day"
     #: ("snapshot_date", "transaction_date") gives a folder per event day inside each photo.
     ledger_partition: tuple[str, ...] = ("snapshot_date",)
+    #: Keep validity intervals beside silver, so the state of a day is a pruned scan.
+    states: bool = False
+    #: Keep what silver merges replace, so stored days can be restated (see :func:`restate`).
+    changes: bool = False
 
     @property
     def event_part_col(self) -> str:
@@ -84,6 +93,33 @@ class Lake:
         """A folder that is there while silver partitions are being replaced."""
         return f"{self.root}/silver_pending/{e.name}"
 
+    def index(self, e: Entity) -> str:
+        return f"{self.root}/silver_index/{e.name}"
+
+    def stored_states(self, e: Entity) -> str:
+        return f"{self.root}/silver_states/{e.name}"
+
+    def change_log(self, e: Entity) -> str:
+        return f"{self.root}/silver_changes/{e.name}"
+
+    @property
+    def restated(self) -> str:
+        return f"{self.root}/gold/gmv_restated"
+
+    @property
+    def restated_days(self) -> str:
+        return f"{self.root}/gold/gmv_restated_days"
+
+    @property
+    def restated_pending(self) -> str:
+        """A folder that is there while restated days are replaced, or can't be restated from the changes."""
+        return f"{self.root}/gold/gmv_restated_pending"
+
+    @property
+    def gold_pending(self) -> str:
+        """Has a folder for each day whose gold tables are being replaced."""
+        return f"{self.root}/gold_pending"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/gold/ledger"
@@ -170,9 +206,7 @@ def run_silver(
     current = lake.read_events(spark, lake.silver(entity), entity.silver_schema)
     if mark is not None and overlap and current is not None:
         # Of the rows read again, those that silver holds as delivered touch nothing.
-        held = current.where(F.col("bronze_ingestion_date") > ntz(mark - overlap)).select(
-            *entity.event_key, F.col("bronze_ingestion_date").alias("ingestion_date"))
-        increment = increment.join(held, [*entity.event_key, "ingestion_date"], "left_anti").select(*increment.columns)
+        increment = silver.not_held(increment, current.where(F.col("bronze_ingestion_date") > ntz(mark - overlap)), entity)
     merge_into_silver(spark, lake, entity, increment, line_created_at)
     _write_mark(spark, lake, entity, newest)
 
@@ -192,12 +226,83 @@ def _write_mark(spark: SparkSession, lake: Lake, entity: Entity, mark: dt.dateti
     spark.range(1).select(ntz(mark).alias("mark")).coalesce(1).write.mode("overwrite").parquet(lake.mark(entity))
 
 
-def _replace_silver(spark: SparkSession, lake: Lake, entity: Entity, out: DataFrame) -> None:
+def read_index(spark: SparkSession, lake: Lake, entity: Entity) -> DataFrame:
+    return storage.read_or_empty(spark, lake.index(entity), keyindex.index_schema(lake.event_part_col))
+
+
+def read_states(spark: SparkSession, lake: Lake, entity: Entity) -> DataFrame:
+    return storage.read_or_empty(spark, lake.stored_states(entity), states.states_schema(entity))
+
+
+def silver_parts(spark: SparkSession, lake: Lake, entity: Entity, parts: list | None = None) -> DataFrame:
+    """Stored silver with its partition column; only the named partitions if there are any named."""
+    df = lake.read_events(spark, lake.silver(entity), entity.silver_schema, with_part=True)
+    return df if parts is None else df.where(F.col(lake.event_part_col).isin(parts))
+
+
+#: Runs of index rows that pile up before they are joined into one.
+INDEX_RUNS = 32
+
+
+def _write_index(spark: SparkSession, lake: Lake, entity: Entity, parts: list | None = None) -> None:
+    """Index rows of the named silver partitions as a new run, or of all as the only one."""
+    path, part = lake.index(entity), lake.event_part_col
+    if parts is None:
+        storage.remove(spark, path)
+    rows = keyindex.partition_index(silver_parts(spark, lake, entity, parts), entity.business_key[0], part)
+    storage.write_run(rows, path, 1 + max(map(int, storage.folder_values(spark, path, "run")), default=0), [part])
+    runs = storage.folder_values(spark, path, "run")
+    if len(runs) > INDEX_RUNS:
+        whole = storage.staged(keyindex.newest(read_index(spark, lake, entity), part).drop("run"))
+        storage.remove(spark, path)
+        storage.write_run(whole, path, 1, [part])
+
+
+def partitions_with(spark: SparkSession, lake: Lake, entity: Entity, keys: DataFrame) -> list:
+    """Silver partitions that may hold the lead keys of ``keys``, from the index alone."""
+    if not storage.exists(spark, lake.index(entity)):  # a lake written before there was an index
+        _write_index(spark, lake, entity)
+    lead = keys.select(F.col(entity.business_key[0]).alias("key")).distinct()
+    return keyindex.partitions_with(read_index(spark, lake, entity), lead, lake.event_part_col)
+
+
+def _replace_silver(
+    spark: SparkSession,
+    lake: Lake,
+    entity: Entity,
+    out: DataFrame,
+    parts: list | None = None,
+    versions: tuple[DataFrame, list] | None = None,
+    before: DataFrame | None = None,
+) -> None:
+    """Write silver partitions and what is kept beside them.
+
+    ``parts`` are the partitions in ``out``, ``versions`` the new rows of the state
+    partitions that the second item names, ``before`` the rows replaced. Without
+    them all of silver is new: index and states are made anew, and stored days can
+    only be restated in full. A kill in between leaves the pending folder.
+    """
     storage.make_folder(spark, lake.pending(entity))
+    if before is not None:
+        runs = storage.folder_values(spark, lake.change_log(entity), "run")
+        storage.write_run(before, lake.change_log(entity), 1 + max(map(int, runs), default=0), list(entity.business_key))
+    elif lake.changes and storage.exists(spark, lake.restated_days):
+        storage.make_folder(spark, lake.restated_pending)
     storage.replace_partitions(out, lake.silver(entity), [lake.event_part_col])
+    _write_index(spark, lake, entity, parts)
+    if versions is not None:
+        storage.replace_partitions(versions[0], lake.stored_states(entity), states.STATE_PARTS, versions[1])
+    elif lake.states:
+        storage.remove(spark, lake.stored_states(entity))
+        whole = states.states_of(silver_parts(spark, lake, entity), entity)
+        storage.replace_partitions(whole, lake.stored_states(entity), states.STATE_PARTS)
     storage.remove(spark, lake.pending(entity))
 
 
+def _log_schema(entity: Entity) -> T.StructType:
+    return T.StructType([*entity.silver_schema.fields, T.StructField("run", T.IntegerType())])
+
+
 def merge_into_silver(
     spark: SparkSession,
     lake: Lake,
@@ -207,29 +312,47 @@ def merge_into_silver(
 ) -> None:
     """Merge bronze rows into silver (batch runs and stream micro-batches alike).
 
-    The keys of the increment name the partitions they touch (a scan of key and
-    partition columns); only those are read whole and replaced, in one pass in
-    which rows of other keys keep their flag.
+    The index names the partitions that may hold the increment's keys, and their
+    key columns those that do; only these are read whole and replaced, in one pass
+    in which rows of other keys keep their flag. No other partition is opened.
     """
     part, key = lake.event_part_col, list(entity.business_key)
-    current = lake.read_events(spark, lake.silver(entity), entity.silver_schema, with_part=True)
-    if current is None:
+    if lake.read_events(spark, lake.silver(entity), entity.silver_schema) is None:
         out = lake.with_event_part(silver.build_silver(increment, entity, line_created_at=line_created_at))
         _replace_silver(spark, lake, entity, out)
         return
     ready = storage.staged(lake.with_event_part(silver.prepare_increment(increment, entity, line_created_at)))
     keys = ready.select(*key).distinct()
+    near = silver_parts(spark, lake, entity, partitions_with(spark, lake, entity, keys))
     # One value per touched partition reaches the driver.
-    days = [r[0] for r in current.select(*key, part).join(keys, key, "left_semi").select(part).union(ready.select(part)).distinct().collect()]
+    days = [r[0] for r in near.select(*key, part).join(keys, key, "left_semi").select(part).union(ready.select(part)).distinct().collect()]
     if not days:
         return
-    stored = current.where(F.col(part).isin(days)).join(keys.withColumn("_touched", F.lit(True)), key, "left")
+    stored = silver_parts(spark, lake, entity, days).join(keys.withColumn("_touched", F.lit(True)), key, "left")
     rows = stored.withColumnRenamed(silver.FLAG, "_was").unionByName(ready.withColumn("_touched", F.lit(True)), allowMissingColumns=True)
     marked = silver.mark_current(silver.dedup_events(rows, entity), entity, key_source=rows)
     flag = F.when(F.col("_touched"), F.col(silver.FLAG)).otherwise(F.col("_was"))
     out = marked.withColumn(silver.FLAG, flag).select(*dict.fromkeys([*entity.silver_columns, "line_created_at", silver.FLAG, part]))
     # The rewrite reads the table it replaces: stage it first.
-    _replace_silver(spark, lake, entity, storage.staged(out))
+    out = storage.staged(out)
+    old = stored.where("_touched").select(*entity.silver_schema.names)
+    versions = _new_versions(spark, lake, entity, old, out.join(keys, key, "left_semi"), keys) if lake.states else None
+    before = keys.join(old, key, "left").select(*entity.silver_schema.names) if lake.changes else None
+    _replace_silver(spark, lake, entity, out, days, versions, before)
+
+
+def _new_versions(
+    spark: SparkSession, lake: Lake, entity: Entity, old: DataFrame, new: DataFrame, keys: DataFrame
+) -> tuple[DataFrame, list]:
+    """The state partitions that touched keys leave or enter, with their new rows.
+
+    The keys' rows before the merge tell which partitions hold their intervals now.
+    """
+    fresh = storage.staged(states.states_of(new, entity))
+    months = sorted({*states.months_of(states.states_of(old, entity)), *states.months_of(fresh)})
+    kept = states.in_months(read_states(spark, lake, entity), months).join(keys, list(entity.business_key), "left_anti")
+    names = states.states_schema(entity).names
+    return storage.staged(kept.select(*names).unionByName(fresh)), months
 
 
 # ------------------------------------------------------------------ gold
@@ -249,10 +372,15 @@ def snapshot(
 ) -> DataFrame:
     """The day's photo of paid purchases, from stored silver (not yet written)."""
     day = as_date(snapshot_date)
-    rows = {n: read_silver(spark, lake, e, upto=day) for n, e in ENTITIES.items()}
-    state = {n: asof.as_of(rows[n], e, day) for n, e in ENTITIES.items()}
+    if lake.states:
+        state = {n: states.as_of_states(read_states(spark, lake, e), e, day) for n, e in ENTITIES.items()}
+        events = None  # hot purchases are counted on the state itself: a column of a pruned scan
+    else:
+        rows = {n: read_silver(spark, lake, e, upto=day) for n, e in ENTITIES.items()}
+        state = {n: asof.as_of(rows[n], e, day) for n, e in ENTITIES.items()}
+        events = rows["product_item"]
     p, i, x = state["purchase"], state["product_item"], state["purchase_extra_info"]
-    return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain, item_events=rows["product_item"])
+    return gold.purchase_snapshot(p, i, x, day, snapshot_datetime, grain=grain, item_events=events)
 
 
 def yesterday(spark: SparkSession) -> dt.date:
@@ -271,10 +399,25 @@ def run_gold(
 
     A rerun replaces the whole day, also when its new result is empty; every
     run leaves one metrics row. Later outputs are computed from the photo as written (re-read), never
-    from a lazy plan that would re-evaluate clocks or read replaced files.
+    from a lazy plan that would re-evaluate clocks or read replaced files. A run killed between
+    the four writes leaves its day's pending folder; the next run, of whatever day, runs that day first.
     """
     day = as_date(snapshot_date) if snapshot_date is not None else yesterday(spark)
     stamp = snapshot_datetime or session_clock(spark).replace(microsecond=0)
+    for left in unfinished_days(spark, lake):
+        if left != day:
+            _write_gold(spark, lake, left, stamp, grain)
+    _write_gold(spark, lake, day, stamp, grain)
+
+
+def unfinished_days(spark: SparkSession, lake: Lake) -> list[dt.date]:
+    """Days whose gold tables may come from different runs, ascending."""
+    return [as_date(d) for d in storage.folder_values(spark, lake.gold_pending, "snapshot_date")]
+
+
+def _write_gold(spark: SparkSession, lake: Lake, day: dt.date, stamp: dt.datetime, grain: str) -> None:
+    pending = f"{lake.gold_pending}/snapshot_date={day}"
+    storage.make_folder(spark, pending)
     photo = snapshot(spark, lake, day, stamp, grain)
     storage.replace_partitions(photo, lake.ledger, lake.ledger_partition, [day], ["transaction_date"])
     written = read_ledger(spark, lake).filter(F.col("snapshot_date") == F.lit(day))
@@ -282,6 +425,90 @@ def run_gold(
     storage.replace_partitions(quality.quarantine_missing_items(written), lake.quarantine, ["snapshot_date"], [day])
     metrics = quality.dq_run_row(quality.dq_metrics(written), day, stamp)
     storage.replace_partitions(metrics, lake.dq, ["snapshot_date"], [day])
+    storage.remove(spark, pending)
+
+
+# ------------------------------------------------------------------ restated days
+
+
+def restate(spark: SparkSession, lake: Lake, days: list[str | dt.date] | None = None) -> list[dt.date]:
+    """Bring the restated mart (``lake.changes``) up to what silver holds now.
+
+    The photos of the ledger and the published mart of a day never change; this
+    table has the same days as late events have altered them. ``days`` are added to
+    those it keeps. Purchases that merges have touched since the last call are the
+    only ones looked at: their old contributions (from the rows that were replaced)
+    are taken off the stored sums and the new ones added, and only days that this
+    alters are rewritten. Returns these days. A killed call, or a silver that was
+    built anew, is followed by a full computation.
+    """
+    if not lake.changes:
+        raise ValueError("this lake keeps no changes: open it with changes=True")
+    kept = {r[0] for r in storage.read_or_empty(spark, lake.restated_days, DAYS_SCHEMA).collect()}
+    wanted = {as_date(d) for d in days or ()}
+    altered: set[dt.date] = set()
+    if storage.exists(spark, lake.restated_pending):
+        fresh = kept | wanted
+    else:
+        fresh = wanted - kept
+        changes = _sum_changes(spark, lake, sorted(kept))
+        storage.make_folder(spark, lake.restated_pending)
+        if changes is not None:
+            altered = {r[0] for r in changes.select("snapshot_date").distinct().collect()}
+        if altered:
+            stored = read_restated(spark, lake).where(F.col("snapshot_date").isin(sorted(altered)))
+            out = storage.staged(backfill.restated_sums(stored, changes))
+            storage.replace_partitions(out, lake.restated, ["snapshot_date"], sorted(altered))
+    if fresh:
+        rows = [read_silver(spark, lake, e) for e in ENTITIES.values()]
+        storage.replace_partitions(backfill.sums_of_days(*rows, sorted(fresh)), lake.restated, ["snapshot_date"], sorted(fresh))
+    for e in ENTITIES.values():
+        storage.remove(spark, lake.change_log(e))
+    listed = spark.createDataFrame([(d,) for d in sorted(kept | wanted)], DAYS_SCHEMA).coalesce(1)
+    listed.write.mode("overwrite").parquet(lake.restated_days)
+    storage.remove(spark, lake.restated_pending)
+    return sorted(altered | fresh)
+
+
+def _sum_changes(spark: SparkSession, lake: Lake, days: list[dt.date]) -> DataFrame | None:
+    """What logged merges change in the sums of ``days``; none without logs or days."""
+    logs = {n: storage.read_table(spark, lake.change_log(e), _log_schema(e)) for n, e in ENTITIES.items()}
+    touched = [log.select("purchase_id") for log in logs.values() if log is not None]
+    if not touched or not days:
+        return None
+    purchases = touched[0]
+    for t in touched[1:]:
+        purchases = purchases.unionByName(t)
+    purchases = storage.staged(purchases.distinct())
+    now, old = [], []
+    for n, e in ENTITIES.items():
+        key = list(e.business_key)
+        if lake.read_events(spark, lake.silver(e), e.silver_schema) is None:
+            rows = spark.createDataFrame([], e.silver_schema)
+        else:
+            held = silver_parts(spark, lake, e, partitions_with(spark, lake, e, purchases))
+            rows = storage.staged(held.join(purchases, "purchase_id", "left_semi").select(*e.silver_schema.names))
+        now.append(rows)
+        if logs[n] is None:
+            old.append(rows)
+            continue
+        # Of several merges of a key the first one replaced what the stored sums count.
+        first = logs[n].groupBy(*key).agg(F.min("run").alias("run"))
+        before = logs[n].join(first, [*key, "run"], "left_semi").where(F.col("transaction_datetime").isNotNull())
+        old.append(storage.staged(rows.join(first, key, "left_anti").unionByName(before.select(*e.silver_schema.names))))
+    return storage.staged(backfill.changed_sums(backfill.sums_of_days(*now, days), backfill.sums_of_days(*old, days)))
+
+
+def read_restated(spark: SparkSession, lake: Lake) -> DataFrame:
+    return storage.read_or_empty(spark, lake.restated, RESTATED_SCHEMA)
+
+
+def restated_view(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The mart of the kept days as known now."""
+    return backfill.mart_of_sums(read_restated(spark, lake))
+
+
+# ------------------------------------------------------------------ published views
 
 
 def read_mart(spark: SparkSession, lake: Lake) -> DataFrame:

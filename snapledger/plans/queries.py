@@ -17,7 +17,7 @@ import uuid
 
 from snapledger.functions.columns import ntz
 from snapledger.model import ENTITIES, EXTRA_INFO, PRODUCT_ITEM, PURCHASE, Entity
-from snapledger.operators import asof, backfill, bronze, gold, quality, reports, silver
+from snapledger.operators import asof, backfill, bronze, gold, quality, reports, silver, states
 from snapledger.plans import daily, ddl
 from snapledger.session import scratch_path
 from snapledger.sources import storage, testmap
@@ -35,6 +35,7 @@ WINDOW_START, WINDOW_END = dt.date(1998, 1, 1), dt.date(1998, 2, 1)
 AS_SEEN_ON = dt.date(1998, 7, 15)
 BACKFILL_EVERY = "quarter"
 EMPTY_DAY = dt.date(1990, 1, 1)            # before all events
+ALL_TIME = dt.timedelta(days=36_500)       # an overlap that reads all deliveries again
 LINE_CREATED_AT = dt.datetime(2000, 1, 1)  # lineage stamp used instead of the clock
 
 
@@ -102,10 +103,10 @@ def _flagged_ledger(spark: SparkSession, sf: str, grain: str = "item") -> DataFr
     return gold.mark_current_snapshot(ledger, days=heads)
 
 
-def _stored(spark: SparkSession, make: Callable[[daily.Lake], DataFrame], event_partition: str = "month") -> DataFrame:
+def _stored(spark: SparkSession, make: Callable[[daily.Lake], DataFrame], event_partition: str = "month", **kept: bool) -> DataFrame:
     """What ``make`` reads from a lake in a fresh folder of the shared checkpoint
     folder; the result is checkpointed and the lake removed again."""
-    lake = daily.Lake(scratch_path(spark, f"lake-{uuid.uuid4().hex}"), event_partition=event_partition)
+    lake = daily.Lake(scratch_path(spark, f"lake-{uuid.uuid4().hex}"), event_partition=event_partition, **kept)
     try:
         return storage.staged(make(lake))
     finally:
@@ -154,6 +155,13 @@ def q_arrival_gate(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.arrival_report({name: _bronze(spark, sf, e) for name, e in ENTITIES.items()})
 
 
+def q_arrival_probe(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each table has events of a day: probes of one row."""
+    days = (EMPTY_DAY, ASOF_CUTOFF)
+    found = [(n, d, bronze.has_partition(_bronze(spark, sf, e), d)) for n, e in ENTITIES.items() for d in days]
+    return spark.createDataFrame(found, "table_name string, transaction_date date, has_data boolean")
+
+
 # ---------------------------------------------------------------- silver
 
 
@@ -327,10 +335,8 @@ def q_ledger_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger as a catalog table (DDL over the stored photos), read by SQL."""
 
     def make(lake: daily.Lake) -> DataFrame:
-        ledger = _ledger(spark, sf)
-        for day in SNAPSHOT_DAYS:  # each photo replaces its own day only
-            photo = gold.append_snapshot(None, ledger.where(F.col("snapshot_date") == F.lit(day)), day)
-            storage.replace_partitions(photo, lake.ledger, ["snapshot_date"], [day], ["transaction_date"])
+        # One write for all days; each photo replaces its own day only.
+        storage.replace_partitions(_ledger(spark, sf), lake.ledger, ["snapshot_date"], SNAPSHOT_DAYS, ["transaction_date"])
         name = f"ledger_{uuid.uuid4().hex}"
         ddl.create_ledger_table(spark, name, lake.ledger)
         try:
@@ -365,6 +371,80 @@ def q_stream_silver_purchase(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, make)
 
 
+def _run_silver(spark: SparkSession, lake: daily.Lake, entity: Entity, events: DataFrame, overlap: dt.timedelta | None = daily.OVERLAP) -> None:
+    daily.ingest(lake, events, entity, ingestion_at=F.col("ingestion_date"))
+    daily.run_silver(spark, lake, entity, line_created_at=LINE_CREATED_AT, overlap=overlap)
+
+
+def q_silver_redelivered(spark: SparkSession, sf: str) -> DataFrame:
+    """Item silver after a run over all items and one over redeliveries of some of
+    them under their first stamps with another value: deduplication decides."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        items = testmap.events_for(spark, sf, PRODUCT_ITEM.name)
+        _run_silver(spark, lake, PRODUCT_ITEM, items)
+        _run_silver(spark, lake, PRODUCT_ITEM, testmap.revalued_items(items), overlap=ALL_TIME)
+        return _no_clock(daily.read_silver(spark, lake, PRODUCT_ITEM))
+
+    return _stored(spark, make)
+
+
+def q_silver_touched_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchase partitions that late items belong to, found by the stored key index,
+    with the number of such purchases each holds."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        _run_silver(spark, lake, PURCHASE, _deliveries(spark, sf, PURCHASE)[0])
+        keys = _deliveries(spark, sf, PRODUCT_ITEM)[1].select("purchase_id").distinct()
+        near = daily.silver_parts(spark, lake, PURCHASE, daily.partitions_with(spark, lake, PURCHASE, keys))
+        met = near.select(lake.event_part_col, "purchase_id").join(keys, "purchase_id", "left_semi")
+        return met.groupBy(lake.event_part_col).agg(F.count_distinct("purchase_id").alias("purchases"))
+
+    return _stored(spark, make)
+
+
+def q_asof_purchase_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchase state of a day from the validity intervals that two silver runs have kept."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        for batch in _deliveries(spark, sf, PURCHASE):
+            _run_silver(spark, lake, PURCHASE, batch)
+        return states.as_of_states(daily.read_states(spark, lake, PURCHASE), PURCHASE, ASOF_CUTOFF)
+
+    return _stored(spark, make, states=True)
+
+
+def q_gmv_restated(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart of the snapshot days, stored after the first deliveries and restated
+    after the second ones by what these change."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        batches = {n: _deliveries(spark, sf, e) for n, e in ENTITIES.items()}
+        for step, days in ((0, SNAPSHOT_DAYS), (1, ())):
+            for n, e in ENTITIES.items():
+                _run_silver(spark, lake, e, batches[n][step])
+            daily.restate(spark, lake, days)
+        return daily.restated_view(spark, lake)
+
+    return _stored(spark, make, changes=True)
+
+
+def q_gmv_report_views(spark: SparkSession, sf: str) -> DataFrame:
+    """The current report in SQL, over temp views of the stored mart."""
+
+    def make(lake: daily.Lake) -> DataFrame:
+        storage.replace_partitions(gold.gmv_by_subsidiary(_ledger(spark, sf)), lake.mart, ["snapshot_date"])
+        views = ddl.publish_reports(spark, lake.mart, f"gmv_{uuid.uuid4().hex}")
+        try:
+            return storage.staged(spark.sql(
+                f"SELECT subsidiary, count(*) AS release_days, sum(gmv_value) AS gmv_value, sum(transaction_count) AS transaction_count "
+                f"FROM {views['current']} GROUP BY subsidiary"))
+        finally:
+            ddl.drop_reports(spark, views)
+
+    return _stored(spark, make)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_producers": q_top_producers,
     "top_products_per_producer": q_top_products_per_producer,
@@ -372,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_product_item": _q_bronze(PRODUCT_ITEM),
     "bronze_extra_info": _q_bronze(EXTRA_INFO),
     "arrival_gate": q_arrival_gate,
+    "arrival_probe": q_arrival_probe,
     "silver_purchase": _q_silver(PURCHASE),
     "silver_product_item": _q_silver(PRODUCT_ITEM),
     "silver_extra_info": _q_silver(EXTRA_INFO),
@@ -397,4 +478,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_catalog": q_ledger_catalog,
     "bronze_rejects": q_bronze_rejects,
     "stream_silver_purchase": q_stream_silver_purchase,
+    "silver_redelivered": q_silver_redelivered,
+    "silver_touched_partitions": q_silver_touched_partitions,
+    "asof_purchase_stored": q_asof_purchase_stored,
+    "gmv_restated": q_gmv_restated,
+    "gmv_report_views": q_gmv_report_views,
 }

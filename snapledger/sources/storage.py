@@ -65,14 +65,14 @@ def replace_partitions(
 ) -> None:
     """Overwrite the partitions present in ``df``; all others are kept.
 
-    ``owned``: values of the first partition column that this write stands for
-    as a whole. What ``df`` no longer has of them is cleared too, after the
+    ``owned``: values of the first partition column (or tuples of the values of
+    the first ones) that this write stands for as a whole. What ``df`` no longer has of them is cleared too, after the
     write has succeeded, so a rerun whose result is empty (or has lost a
     second-level partition) leaves nothing old behind. ``sort_cols`` orders the
     rows inside each file.
     """
     spark = df.sparkSession
-    before = [f for v in owned or () for f in _files(spark, f"{path}/{partition_cols[0]}={v}")]
+    before = [f for v in owned or () for f in _files(spark, _partition(path, partition_cols, v if isinstance(v, tuple) else (v,)))]
     out = _balanced(df, partition_cols)
     if sort_cols:
         out = out.sortWithinPartitions(*partition_cols, *sort_cols)
@@ -87,6 +87,15 @@ def replace_partitions(
         _delete_file(spark, f)
 
 
+def write_run(df: DataFrame, path: str, run: int, sort_cols: Sequence[str]) -> None:
+    """Add ``df`` as the folder ``run=<run>`` of a table that grows by runs, sorted for row-group pruning."""
+    _balanced(df, ()).sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def _partition(path: str, partition_cols: Sequence[str], values: tuple) -> str:
+    return "/".join([path, *(f"{c}={v}" for c, v in zip(partition_cols, values))])
+
+
 def _folder(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
@@ -103,6 +112,15 @@ def _files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def folder_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of the partition folders ``col=value`` right below a folder; none if it isn't there."""
+    fs, target = _folder(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(target)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{col}="))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _folder(spark, path)
     return fs.exists(target)

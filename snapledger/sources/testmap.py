@@ -26,6 +26,7 @@ EXTRA_DELAY_MODULUS = 30        # extra info arrives o_orderkey % 30 days after
 EXTRA_MOVE_MODULUS = 13         # extra info of o_orderkey % 13 = 0 moves 60 days later
 EXTRA_MOVE_DAYS = 60
 MOVED_SUBSIDIARY = "MOVED"
+REVALUED_MODULUS = 5            # items of purchase_id % 5 = 0 come again under the same stamp
 ITEM_PARTITIONS = 8             # prod_item_partition = key % 8 in the report inputs
 
 
@@ -161,7 +162,8 @@ def events_for(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFrame:
     return EVENT_VIEWS[entity_name](spark, sf_dir)
 
 
-def publish_events(spark: SparkSession, sf_dir: str, entity_name: str, view: str) -> DataFrame:
-    """Events of one entity published as a temp view, and the view read back."""
-    events_for(spark, sf_dir, entity_name).createOrReplaceTempView(view)
-    return spark.table(view)
+def revalued_items(items: DataFrame) -> DataFrame:
+    """Redeliveries of item events under their first stamps, worth 2 more (or less)."""
+    up = F.when(F.col("purchase_id") % 2 == 0, 2).otherwise(-2).cast(MONEY)
+    again = items.where(F.col("purchase_id") % REVALUED_MODULUS == 0)
+    return again.withColumn("purchase_value", (F.col("purchase_value") + up).cast(MONEY))

@@ -50,6 +50,33 @@ def test_top_n_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(df)
 
 
+def test_items_are_summed_before_the_join(spark):
+    """A composite key with very many items shrinks in the map tasks, before any exchange."""
+    p, i = testmap.report_purchase(spark, SF001), testmap.report_product_item(spark, SF001)
+    for df in (reports.top_producers(p, i, 1997, 50), reports.top_products_per_producer(p, i, 2)):
+        lines = plan(df).splitlines()
+        scan = next(n for n, x in enumerate(lines) if "FileScan" in x and "l_partkey" in x or "FileScan" in x and "l_quantity" in x)
+        above = [x for x in lines[:scan] if "HashAggregate" in x or "Exchange" in x][-2:]
+        assert "Exchange" in above[0] and "partial_sum" in above[1], above
+
+
+def test_current_view_prunes_when_it_runs(spark, lake_root):
+    from snapledger.plans import ddl
+    from snapledger.sources import storage
+
+    lake = daily.Lake(lake_root)
+    for day, n in (("2024-01-01", 1), ("2024-01-02", 5)):
+        storage.replace_partitions(spark.sql(f"SELECT DATE'{day}' AS snapshot_date, DATE'2024-01-01' AS release_date, 'x' AS subsidiary, "
+                                             f"1.0D AS gmv_value, {n}L AS transaction_count"), lake.mart, ["snapshot_date"])
+    views = ddl.publish_reports(spark, lake.mart, "test_views")
+    df = spark.sql(f"SELECT transaction_count FROM {views['current']}")
+    scan = next(x for x in plan(df).splitlines() if "FileScan" in x and "transaction_count" in x)
+    assert "Subquery" in scan.split("PartitionFilters:")[1].split("]")[0]
+    assert [r[0] for r in df.collect()] == [5]
+    ddl.drop_reports(spark, views)
+    assert not spark.catalog.tableExists(views["mart"])
+
+
 def test_as_of_over_storage_prunes_partitions(spark, lake_root):
     import fixtures as FX
 
@@ -62,9 +89,10 @@ def test_as_of_over_storage_prunes_partitions(spark, lake_root):
     assert "PartitionFilters: [isnotnull(transaction_date" in p and "<= 2023-02-01" in p
 
 
-def test_mart_current_flag_uses_scalar_subquery(spark):
-    p = plan(Q.QUERIES["gmv_current"](spark, SF001))
-    assert "Subquery" in p
+def test_mart_current_flag_uses_scalar_subquery(spark, lake_root):
+    """The newest day is read beside the mart, not by a window over it."""
+    p = plan(reports.gmv_current(daily.read_mart(spark, daily.Lake(lake_root))))
+    assert "Subquery" in p and "Window" not in p
 
 
 @pytest.mark.parametrize("name, most", [

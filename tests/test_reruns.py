@@ -116,3 +116,31 @@ def test_incremental_silver_reads_touched_partitions_only(spark, lake_root):
     assert {os.path.basename(os.path.dirname(f)) for f in files ^ after} == {"transaction_date=2024-01-03"}
     got = {r["purchase_id"]: r["item_quantity"] for r in daily.read_silver(spark, lake, PRODUCT_ITEM).collect()}
     assert got == {**dict.fromkeys(range(1, 9), 1), 3: 5}
+
+
+@pytest.mark.parametrize("writes", [0, 1, 2, 3])
+def test_gold_run_killed_between_its_writes(spark, lake_root, monkeypatch, writes):
+    """The next run, of another day, makes the four tables of the day agree again."""
+    lake = daily.Lake(lake_root, event_partition="month")
+    deliver(spark, lake, "purchase", [purchase(70, at(3), at(4).date())], at(5))
+    run(spark, lake, at(11))
+    item = {"when": at(3), "purchase_id": 70, "product_id": 9, "item_quantity": 2, "purchase_value": "5.00"}
+    deliver(spark, lake, "product_item", [item], at(12))
+    daily.run_silver(spark, lake, PRODUCT_ITEM, line_created_at=at(1))
+    done, write = [], storage.replace_partitions
+
+    def killed(*args, **kw):
+        if len(done) == writes:
+            raise KeyboardInterrupt
+        done.append(1)
+        write(*args, **kw)
+
+    monkeypatch.setattr(storage, "replace_partitions", killed)
+    with pytest.raises(KeyboardInterrupt):
+        daily.run_gold(spark, lake, DAY, at(12, 1))
+    monkeypatch.setattr(storage, "replace_partitions", write)
+    assert daily.unfinished_days(spark, lake) == [DAY]
+    daily.run_gold(spark, lake, at(2).date(), at(13))  # a day without purchases
+    assert daily.unfinished_days(spark, lake) == []
+    got = state(spark, lake)
+    assert (got["ledger"], got["mart"], got["quarantine"], got["dq"]) == (1, 1, 0, [(1, 0, 1, 10.0)])
