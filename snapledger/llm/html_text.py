@@ -35,6 +35,8 @@ DAMP = 0.9
 MOST_CUT = 0.5
 #: The same for pages whose text is not in such elements.
 MOST_CUT_BODY = 0.8
+#: Marks a headline outside of article and main elements.
+HEADLINE = 0.5
 #: Pages that are the same in this share of their text, longest blocks first, are copies.
 COPIED = 0.9
 
@@ -54,7 +56,7 @@ CLOSES = {
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 #: Elements that are never main text.
 CUT = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head iframe input label map menu nav noembed noframes noscript object "
+    "aside audio button canvas datalist dialog embed footer head iframe input label map menu nav noembed noframes noscript object "
     "script search select style svg template textarea title video".split())
 CUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split())
 #: Words of class names and ids that say the same.
@@ -64,6 +66,8 @@ CUT_WORDS = frozenset(
     "signup sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments "
     "discussion feedback disqus reply replies respond share sharing social related recommended recommendations widget widgets pagination pager login search "
     "copyright skip hidden disclaimer outbrain taboola".split())
+#: Of these, the words of what readers wrote: it may well be longer than the main text.
+READERS = frozenset("comment comments disqus".split())
 #: First words that deny a name or make it a state or a subject, last words that do.
 NOT_HEADS = frozenset("no not non has have is with without category tag topic format".split())
 NOT_TAILS = frozenset("open opened closed on off enabled disabled layout page wrapper container".split())
@@ -87,7 +91,7 @@ class Element:
 
     __slots__ = ("tag", "path", "above", "cut", "inside", "named", "children")
 
-    def __init__(self, tag: str, path: int, above: tuple[int, ...], cut: bool, inside: int, named: tuple[int, ...] = ()) -> None:
+    def __init__(self, tag: str, path: int, above: tuple[int, ...], cut: bool, inside: float, named: tuple[int, ...] = ()) -> None:
         self.tag, self.path, self.above, self.cut, self.inside, self.named = tag, path, above, cut, inside, named
         self.children: list[str] = []
 
@@ -96,7 +100,7 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def says_cut(tag: str, attrs: dict[str, str], inside: int) -> bool:
+def says_cut(tag: str, attrs: dict[str, str], inside: float) -> bool:
     """Whether the markup itself says that an element is no main text."""
     if tag in CUT:
         return True
@@ -111,33 +115,35 @@ def says_cut(tag: str, attrs: dict[str, str], inside: int) -> bool:
     return False
 
 
-def named_cut(tag: str, attrs: dict[str, str], inside: int) -> bool:
-    """Whether a class name or id, by its first or last word, says that an element is no main text."""
+def named_cut(tag: str, attrs: dict[str, str], inside: float) -> str:
+    """The class name or id that says, by its first or last word, that an element is no
+    main text; a form says it by its tag. Empty if none does."""
     if tag in ("html", "body", "main"):
-        return False
+        return ""
     for name in (attrs.get("class", "") + " " + attrs.get("id", "")).lower().split():
         words = WORD.findall(name)
         if not inside and name in CUT_HEADS:
-            return True
+            return name
         if words and words[0] not in NOT_HEADS and words[-1] not in NOT_TAILS and not CUT_WORDS.isdisjoint((words[0], words[-1])):
-            return True
-    return False
+            return name
+    return "form" if tag == "form" else ""
 
 
 class Page:
     """Blocks of text of one page, and its style nodes."""
 
     def __init__(self, source: str) -> None:
-        #: (text, path, paths above, 2 inside an article, 1 inside main, else 0)
-        self.blocks: list[tuple[str, int, tuple[int, ...], int]] = []
+        #: (text, path, paths above, 2 inside an article, 1 inside main, HEADLINE, else 0)
+        self.blocks: list[tuple[str, int, tuple[int, ...], float]] = []
         #: path -> (paths above, orders of children)
         self.nodes: dict[int, tuple[tuple[int, ...], list[str]]] = {}
         #: For each block and each closed element, the branches above it whose names say they are no main text.
         self.named: list[tuple[int, ...]] = []
         self.closed: list[tuple[int, tuple[int, ...], str, tuple[int, ...]]] = []
-        self.branches = 0
+        self.branches: list[str] = []  # the names of these branches
         self.stack = [Element("", 0, (), False, 0)]
-        self.text: list[str] = []
+        #: Pieces of the block's text, each with the named branches above it.
+        self.text: list[tuple[str, tuple[int, ...]]] = []
         at, n = 0, len(source)
         for m in TOKEN.finditer(source):
             if m.start() < at:  # inside a raw element
@@ -164,32 +170,56 @@ class Page:
         self.settle()
 
     def settle(self) -> None:
-        """Cut the branches whose names say so, but none that holds most of the page's
-        text, unless an article or main element stands outside such branches."""
-        sizes = [0] * self.branches
-        for b, named in zip(self.blocks, self.named, strict=True):
-            for i in named:
-                sizes[i] += len(b[0])
-        size = sum(len(b[0]) for b in self.blocks)
-        told = any(b[3] and not named for b, named in zip(self.blocks, self.named, strict=True))
-        cut = {i for i, n in enumerate(sizes) if told or n <= MOST_CUT * size}
-        self.blocks = [b for b, named in zip(self.blocks, self.named, strict=True) if cut.isdisjoint(named)]
+        """Cut the branches whose names say so.
+
+        Where an article or main element stands outside of them all go. Elsewhere
+        names are no proof: what readers wrote goes if other text is left, and of the
+        other names those go that together hold no more than MOST_CUT of that text;
+        names with much text are the first to stay, with all their branches.
+        """
+        blocks = list(zip(self.blocks, self.named, strict=True))
+        if any(b[3] >= 1 and not named for b, named in blocks):
+            cut = set(range(len(self.branches)))
+        else:
+            readers = {i for i, name in enumerate(self.branches) if not READERS.isdisjoint(WORD.findall(name))}
+            rest = [(len(b[0]), named) for b, named in blocks if readers.isdisjoint(named)]
+            if not rest:
+                readers, rest = set(), [(len(b[0]), named) for b, named in blocks]
+            size = sum(n for n, _ in rest)
+            held: dict[str, int] = {}
+            for n, named in rest:
+                for name in {self.branches[i] for i in named}:
+                    held[name] = held.get(name, 0) + n
+            stay: set[str] = set()
+            order = sorted(held, key=lambda name: (-held[name], name))
+            # The larger names stay until the others hold little enough (those within them go too).
+            low, high = 0, len(order)
+            while low < high:
+                at = (low + high) // 2
+                stay = set(order[:at])
+                gone = sum(n for n, named in rest if any(self.branches[i] not in stay for i in named))
+                low, high = (low, at) if gone <= MOST_CUT * size else (at + 1, high)
+            stay = set(order[:low])
+            cut = {i for i, name in enumerate(self.branches) if i in readers or name not in stay}
+        self.blocks = [b for b, named in blocks if cut.isdisjoint(named)]
         for path, above, order, named in self.closed:
             if cut.isdisjoint(named):
                 self.nodes.setdefault(path, (above, []))[1].append(order)
 
     def data(self, s: str) -> None:
         if not self.stack[-1].cut:
-            self.text.append(html.unescape(s) if "&" in s else s)
+            self.text.append((html.unescape(s) if "&" in s else s, self.stack[-1].named))
 
     def flush(self) -> None:
         if self.text:
-            words = "".join(self.text).split()
+            words = "".join(t for t, _ in self.text).split()
+            above = [named for t, named in self.text if t.strip()]
             self.text = []
             if words:
                 top = self.stack[-1]
                 self.blocks.append((" ".join(words), top.path, top.above, top.inside))
-                self.named.append(top.named)
+                # An inline branch holds the block if it holds all of its text.
+                self.named.append(tuple(i for i in above[0] if all(i in named for named in above[1:])))
 
     def pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
@@ -201,7 +231,7 @@ class Page:
 
     def start(self, tag: str, raw: str) -> None:
         if tag == "br":
-            self.text.append(" ")
+            self.text.append((" ", ()))
             return
         block = tag in BLOCKS
         if block:
@@ -224,15 +254,12 @@ class Page:
             return
         up = self.stack[-1]
         attrs = attributes(raw) if raw.strip(" /\n\t") else {}
-        inside = max(up.inside, 2 if tag == "article" else 1 if tag == "main" or attrs.get("role") == "main" else 0)
+        inside = max(up.inside, 2 if tag == "article" else 1 if tag == "main" or attrs.get("role") == "main" else HEADLINE if tag == "h1" else 0)
         cut = up.cut or says_cut(tag, attrs, up.inside)
         named = up.named
-        if not cut and named_cut(tag, attrs, up.inside):
-            if block:
-                named = (*named, self.branches)
-                self.branches += 1
-            else:
-                cut = True
+        if not cut and (name := named_cut(tag, attrs, up.inside)):
+            named = (*named, len(self.branches))
+            self.branches.append(name)
         if block:
             style = DIGITS.sub("#", f"{tag}.{attrs.get('class', '')}#{attrs.get('id', '')}")
             if not up.children or up.children[-1] != tag:
@@ -268,9 +295,12 @@ class Page:
             return sum(len(b[0]) for b in blocks)
 
         left = [b for b in self.blocks if b[1] not in cut and cut.isdisjoint(b[2])] or self.blocks
-        told = [b for b in left if b[3]]
+        # A headline belongs to the article that follows it.
+        first = next((i for i, b in enumerate(self.blocks) if b[3] >= 1), 0)
+        own = {id(b) for i, b in enumerate(self.blocks) if b[3] >= 1 or b[3] and i < first}
+        told = [b for b in left if id(b) in own]
         if size(told) > MOST_CUT * size(left):
-            whole, left = [b for b in self.blocks if b[3]], told
+            whole, left = [b for b in self.blocks if id(b) in own], told
             most = MOST_CUT
         else:
             whole, most = self.blocks, MOST_CUT_BODY

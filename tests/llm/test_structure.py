@@ -377,3 +377,29 @@ def test_op13_plan_has_no_python(spark):
     plan = docs.select(rules.measures(F.col("text")).alias("m"))._jdf.queryExecution().executedPlan().toString()
     plan += E.queries()["op13_quality_rules"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+# ---------------------------------------------------------------- names on pages
+
+RIVER = "<p>The river rose in the night and the bridge was closed until the morning came.</p>"
+SAID = RIVER[3:-4]
+
+
+@pytest.mark.parametrize("body, want", [
+    ("".join(f"<div class='elementor-element elementor-widget elementor-widget-text-editor'>{RIVER}</div>" for _ in range(4)), [SAID] * 4),
+    (f"<div class='post-share'>{RIVER}</div><div class='entry-related'>{RIVER}</div>", [SAID]),
+    (f"<form id=aspnetForm><div>{RIVER * 2}</div></form>", [SAID] * 2),
+    (f"<form id=aspnetForm><article>{RIVER}</article><div class=sidebar>side bar text</div></form>", [SAID]),
+    (f"<article>{RIVER}<form><p>Subscribe now</p></form></article>", [SAID]),
+    (f"<span class='widget'>{RIVER}</span>", [SAID]),
+    ("<article><p>A <span class='notice'>notice on the door</span> said so.</p></article>", ["A notice on the door said so."]),
+    (f"<div>{RIVER}</div><div><span class='ad-label'>Advertisement</span></div>", [SAID]),
+    (f"<h1>Headline</h1><article>{RIVER}</article>", ["Headline", SAID]),
+    (f"<article>{RIVER}</article><h1>Another headline</h1>", [SAID]),
+    (f"<div>{RIVER}</div><div class='comments'>{RIVER * 3}</div>", [SAID]),
+])
+def test_names_never_empty_a_page(body, want):
+    """A single page, without the help of its host's style tree."""
+    from snapledger.llm.html_text import Page
+
+    assert Page(f"<html><body>{body}</body></html>").main_text(frozenset()).split("\n\n") == want
