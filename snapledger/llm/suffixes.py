@@ -43,6 +43,8 @@ DIGIT_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
 #: Differing spans of one anchor that one task orders; more are dealt by window.
 CROWD = 1 << 16
+#: Suffixes that a task orders at once.
+ORDERED = 1 << 20
 
 NO_KEY = (1 << 63) - 1
 
@@ -341,27 +343,32 @@ def ordered_spans(batches: Iterator[pa.RecordBatch], buckets: int, depth: int) -
     a, key, tie, p, count, off = (np.concatenate(c) for c in zip(*cols, strict=True))
     data = np.frombuffer(b"".join(tails), np.uint8)
     begin = np.cumsum(count + depth - 1) - (count + depth - 1)
-    # Anchors are dealt part by part, so that one task orders a bounded number of suffixes at a time.
+    # Anchors are dealt part by part, and a part by alignment to its anchors (suffixes aligned
+    # otherwise are never equal), so that a task orders at most ORDERED suffixes at a time.
     order = np.argsort(a, kind="stable")
+    a_sorted, total = a[order], np.cumsum(count[order])
     cut, rows = 0, []
-    total = np.cumsum(count[order])
     while cut < len(order):
-        upto = int(np.searchsorted(total, (total[cut - 1] if cut else 0) + (4 << 20), side="right"))
-        upto = max(upto, cut + 1)
-        upto = int(np.searchsorted(a[order], a[order[upto - 1]], side="right"))
+        upto = int(np.searchsorted(total, (total[cut - 1] if cut else 0) + ORDERED, side="right"))
+        upto = int(np.searchsorted(a_sorted, a_sorted[max(upto, cut + 1) - 1], side="right"))
         part = order[cut:upto]
         cut = upto
-        run = np.repeat(part, count[part])
-        nth = np.arange(len(run)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
-        _, group = np.unique(a[run] * 256 + off[run] - nth, return_inverse=True)
-        left, group = radix_groups(data, begin[run] + nth, group, depth)
-        if not len(left):
-            continue
-        k, t, q = key[run][left], tie[run][left], (p[run] + nth)[left]
-        by = np.lexsort((q, t, k, group))
-        again = by[np.concatenate([[False], group[by][1:] == group[by][:-1]])]
-        k, t, q = k[again], t[again], q[again]
-        rows += [(d, REMOVED, x) for d, x in dealt((k ^ t) % buckets, [k, t, q, np.ones(len(q), np.int64)])]
+        low, high = int((off[part] - count[part]).min()) + 1, int(off[part].max()) + 1
+        width = max(1, ORDERED // len(part))  # a span has one suffix of each alignment at most
+        for r in range(low, high, width):
+            first = np.maximum(0, off[part] - (r + width) + 1)
+            many = np.maximum(0, np.minimum(count[part], off[part] - r + 1) - first)
+            run = np.repeat(part, many)
+            nth = np.arange(len(run)) - np.repeat(np.cumsum(many) - many - first, many)
+            _, group = np.unique(a[run] * 256 + off[run] - nth, return_inverse=True)
+            left, group = radix_groups(data, begin[run] + nth, group, depth)
+            if not len(left):
+                continue
+            k, t, q = key[run][left], tie[run][left], (p[run] + nth)[left]
+            by = np.lexsort((q, t, k, group))
+            again = by[np.concatenate([[False], group[by][1:] == group[by][:-1]])]
+            k, t, q = k[again], t[again], q[again]
+            rows += [(d, REMOVED, x) for d, x in dealt((k ^ t) % buckets, [k, t, q, np.ones(len(q), np.int64)])]
     yield from packed_rows(rows)
 
 

@@ -403,3 +403,36 @@ def test_names_never_empty_a_page(body, want):
     from snapledger.llm.html_text import Page
 
     assert Page(f"<html><body>{body}</body></html>").main_text(frozenset()).split("\n\n") == want
+
+
+def test_suffixes_of_one_hot_anchor_in_parts(monkeypatch):
+    """Spans around one anchor, ordered a few suffixes at a time: the same repeats as in plain Python."""
+    import numpy as np
+    import pyarrow as pa
+    from snapledger.llm import suffixes
+
+    rng = random.Random(12)
+    anchor = "".join(rng.choice("mnopqrst") for _ in range(32))
+    around = ["".join(rng.choice("abcd ") for _ in range(100)) for _ in range(5)]
+    depth, spans, seen, want = 100, [], {}, set()
+    for doc in range(40):
+        before, after = rng.choice(around), rng.choice(around)
+        count = rng.randint(1, 69)
+        # ``count`` suffixes from place p on, the first ``off`` bytes before the anchor.
+        off = rng.randint(count - 1, 68)
+        data = (before[100 - off:] + anchor + after)[:count + depth - 1]
+        spans.append(((7, doc, 0, 1000 - off, count, off), data.encode()))
+        for i in range(count):
+            window = data[i:i + depth]
+            if window in seen:
+                want.add((doc, 1000 - off + i))
+            seen.setdefault(window, doc)
+    num = np.array([c for c, _ in spans], np.int64)
+    raw = suffixes.pack(list(num.T), b"".join(d for _, d in spans))
+    batch = pa.RecordBatch.from_pydict({"to": [0], "kind": [0], "raw": [raw]})
+    assert want
+    for ordered in (1, 7, 100, 1 << 20):
+        monkeypatch.setattr(suffixes, "ORDERED", ordered)
+        found = [r for b in suffixes.ordered_spans(iter([batch]), 1, depth) for r in b.column(2).to_pylist()]
+        key, _, at, n = suffixes.joined(found, 4)
+        assert {(int(k), int(p)) for k, p in zip(key, at)} == want and set(n.tolist()) == {1}
