@@ -17,7 +17,6 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,16 +26,24 @@ from snapledger.llm.common import kept, map_batches, tokenizer_path
 PIECE_MODEL = "piece_bpe_32k.model"
 
 SPACE = "▁"
-#: Units kept per worker, and the longest kept.
-KEEP_UNITS = 450_000
+#: Units kept per worker in each of two generations, and the longest kept.
+KEEP_UNITS = 700_000
 KEEP_CHARS = 64
+#: Answers of the pair test kept per worker in each of two generations.
+KEEP_PAIRS = 300_000
 
 
 class PieceTable(dict):
-    """Ids of each unit of text, as ``(count, "id,id,...", decoded text)``.
+    """Raw ids of each unit of text.
 
     A unit is a run of spaces with the characters up to the next space. No
     vocabulary entry reaches over the end of a unit, so units are independent.
+    Most units have one space in front, so the key of such a unit leaves it out;
+    the key of a line's first word begins with the line break, and that of any
+    other unit with a space of its own.
+
+    When the table is full it becomes the old generation, and what is met again
+    moves back from there.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,19 +58,34 @@ class PieceTable(dict):
         self.score = {i: model.get_score(i) for i in plain}
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.bytes)}
+        self.old: dict[str, bytes] = {}
+        self.dtype = np.dtype("<u2" if len(self.piece) <= 1 << 16 else "<u4")
+        self.packed = [np.array(i, self.dtype).tobytes() for i in range(len(self.piece))]
+        self.digits = [str(i) for i in range(len(self.piece))]
+        self.shown = [p.replace(SPACE, " ") for p in self.piece]
+        #: Byte entries that are a character alone show as it; the others need their neighbours.
+        self.is_byte = np.zeros(len(self.piece), bool)
+        for b, i in enumerate(self.bytes):
+            self.is_byte[i] = b >= 128
+            self.shown[i] = chr(b) if b < 128 else ""
         wide = [p for p in self.ids if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) or (p[:2] == SPACE * 2 and p.strip(SPACE)) for p in wide):
             raise ValueError("an entry reaches over the end of a unit")
         # A character that is in no longer entry always stands alone.
         joined = set("".join(wide))
         alone = "".join(regex.escape(c) for c in "\n\t\r" if c not in joined)
-        self.cut = regex.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.cut = regex.compile(f" *[^ {alone}]+| +|[{alone}]" if alone else " *[^ ]+| +")
+        self.lines = "\n" not in joined
+        #: Signs that leave no text to be cut at single spaces and line breaks alone.
+        self.odd = ["  ", *(c for c in "\t\r" if c not in joined)]
+        self.known = frozenset(c for c in self.ids if len(c) == 1)
         self.ends = ahocorasick.Automaton()
         for p, i in self.ids.items():
             if p.strip(SPACE) or len(p) == 1:
                 self.ends.add_word(p, (i, len(p)))
         self.ends.make_automaton()
         self.pairs: dict[int, bool] = {}
+        self.old_pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         #: Place in the order of merges; characters come before all merges.
         self.rank = dict.fromkeys(plain, -1)
@@ -107,7 +129,12 @@ class PieceTable(dict):
         pair = a << 32 | b
         ok = self.pairs.get(pair)
         if ok is None:
-            ok = self.pairs[pair] = self.apart(a, b)
+            ok = self.old_pairs.get(pair)
+            if ok is None:
+                ok = self.apart(a, b)
+            if len(self.pairs) >= KEEP_PAIRS:
+                self.old_pairs, self.pairs = self.pairs, {}
+            self.pairs[pair] = ok
         return ok
 
     def apart(self, a: int, b: int) -> bool:
@@ -144,11 +171,27 @@ class PieceTable(dict):
 
     def of_known(self, text: str) -> list[int]:
         """Ids of a text whose characters are all entries: the prefix table, read backwards."""
-        last: list[tuple[int, int]] = [(-1, 0)] * len(text)
-        for end, (i, n) in self.ends.iter(text):
-            start = end - n + 1
-            if last[end][1] == 0 and self.stands(i) and (start == 0 or last[start - 1][1] and self.may_follow(last[start - 1][0], i)):
-                last[end] = (i, n)
+        last: list[tuple[int, int] | None] = [None] * len(text)
+        whole, pairs = self.whole, self.pairs
+        for end, entry in self.ends.iter(text):
+            if last[end] is not None:
+                continue
+            i, n = entry
+            if n <= end:
+                before = last[end - n]
+                if before is None:
+                    continue
+            ok = whole.get(i)
+            if not (self.stands(i) if ok is None else ok):
+                continue
+            if n <= end:
+                ok = pairs.get(before[0] << 32 | i)
+                if ok is None:
+                    ok = self.may_follow(before[0], i)
+                    pairs = self.pairs
+                if not ok:
+                    continue
+            last[end] = entry
         out, at = [], len(text) - 1
         while at >= 0:
             i, n = last[at]
@@ -166,19 +209,24 @@ class PieceTable(dict):
         word = unit.lstrip(SPACE)
         lead = len(unit) - len(word)
         # Runs of spaces have the lowest score: only the last space can join the word.
-        out: list[int] = []
         text = SPACE * min(lead, 1) + word
+        out = self.of_known(text) if self.known.issuperset(text) else self.of_mixed(text)
+        if lead > 1:
+            free = out and out[0] == self.ids[SPACE]
+            out = self.of_run(lead if free else lead - 1) + out[1 if free else 0:]
+        return out
+
+    def of_mixed(self, text: str) -> list[int]:
+        """Ids of a text with characters that are no entries: these are spelt in bytes."""
+        out: list[int] = []
         known = 0
         for at in range(len(text) + 1):
-            if at == len(text) or text[at] not in self.ids:
+            if at == len(text) or text[at] not in self.known:
                 if at > known:
                     out += self.of_known(text[known:at])
                 if at < len(text):
                     out += [self.bytes[b] for b in text[at].encode()]
                 known = at + 1
-        if lead > 1:
-            free = out and out[0] == self.ids[SPACE]
-            out = self.of_run(lead if free else lead - 1) + out[1 if free else 0:]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -196,28 +244,51 @@ class PieceTable(dict):
             out.append(raw.decode("utf-8", "replace"))
         return "".join(out)
 
-    def __missing__(self, unit: str) -> tuple[int, str, str]:
-        ids = self.of_unit(unit)
-        out = (len(ids), ",".join(map(str, ids)), self.decode(ids))
-        if len(unit) <= KEEP_CHARS:
+    def __missing__(self, key: str) -> bytes:
+        raw = self.old.get(key)
+        if raw is None:
+            if key.startswith(" "):
+                ids = self.of_unit(key[1:].replace(" ", SPACE))
+            elif self.lines and key.startswith("\n"):
+                ids = self.of_unit("\n") + (self.of_unit(key[1:]) if len(key) > 1 else [])
+            else:
+                ids = self.of_unit(SPACE + key)
+            raw = b"".join(map(self.packed.__getitem__, ids))
+        if len(key) <= KEEP_CHARS:
             if len(self) >= KEEP_UNITS:
+                self.old = dict(self)
                 self.clear()
-            self[unit] = out
-        if len(self.pairs) > KEEP_UNITS:
-            self.pairs.clear()
-        return out
+            self[key] = raw
+        return raw
+
+    def units(self, text: str) -> list[str]:
+        """The keys of a text's units."""
+        text = text.replace(SPACE, " ")
+        if self.lines and not text.startswith((" ", "\n")) and not any(c in text for c in self.odd):
+            return text.replace("\n", " \n").split(" ")
+        return [u[1:] if u[0] == " " and u[1:2] != " " else " " + u for u in self.cut.findall(" " + text)]
+
+    def raw_ids(self, text: str) -> np.ndarray:
+        """Ids of a whole text."""
+        return np.frombuffer(b"".join(map(self.__getitem__, self.units(text))) if text else b"", self.dtype)
+
+    def decoded(self, ids: np.ndarray) -> str:
+        """The text of a whole text's ids, without the space put in front."""
+        if self.is_byte[ids].any():
+            return self.decode(ids.tolist())[1:]
+        return "".join(map(self.shown.__getitem__, ids.tolist()))[1:]
+
+    def joined(self, ids: np.ndarray) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.digits.__getitem__, ids.tolist()))
 
     def of_text(self, text: str) -> tuple[int, str, str]:
         """``(number of ids, ids joined by commas, decoded text)`` of a whole text."""
-        if not text:
-            return 0, "", ""
-        units = self.cut.findall(SPACE + text.replace(" ", SPACE))
-        n, ids, back = zip(*map(self.__getitem__, units), strict=True)
-        return sum(n), ",".join(ids), "".join(back)[1:]  # without the space put in front
+        ids = self.raw_ids(text)
+        return len(ids), self.joined(ids), self.decoded(ids)
 
     def encode(self, text: str) -> list[int]:
-        joined = self.of_text(text)[1]
-        return [int(i) for i in joined.split(",")] if joined else []
+        return self.raw_ids(text).tolist()
 
 
 def piece_table(model: str) -> PieceTable:
@@ -240,15 +311,21 @@ def encode_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(model)
         for b in batches:
-            rows = [table.of_text(t or "") for t in b.column(1).to_pylist()]
-            cols = [b.column(0), pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([hashlib.sha256(r[1].encode()).hexdigest() for r in rows], pa.string()),
-                    pa.array([hashlib.sha256(r[2].encode()).hexdigest() for r in rows], pa.string())]
+            counts, digests, back_digests, ids, backs = [], [], [], [], []
+            for t in b.column(1).to_pylist():
+                raw = table.raw_ids(t or "")
+                joined, back = table.joined(raw), table.decoded(raw)
+                counts.append(len(raw))
+                digests.append(hashlib.sha256(joined.encode()).hexdigest())
+                back_digests.append(hashlib.sha256(back.encode()).hexdigest())
+                if with_ids:
+                    ids.append(raw.astype(np.int32))
+                    backs.append(back)
+            cols = [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back_digests, pa.string())]
             names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                ids = pc.cast(pc.split_pattern(pa.array([r[1] for r in rows if r[0]], pa.string()), ",").flatten(), pa.int32())
-                ends = np.concatenate([[0], np.cumsum([r[0] for r in rows])]).astype(np.int32)
-                cols += [pa.ListArray.from_arrays(ends, ids), pa.array([r[2] for r in rows], pa.string())]
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                cols += [pa.ListArray.from_arrays(ends, np.concatenate([*ids, np.zeros(0, np.int32)])), pa.array(backs, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
