@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,6 +42,10 @@ PENALTY = 0.02
 STEPS = 400
 RATE = 0.1
 KEEP_WORDS = 200_000
+#: Signs of the longest word that is a feature as a whole and kept per worker; longer
+#: ones (text without spaces, say) are read in pieces of so many signs, one at each sign.
+LONG_WORD = 40
+PIECE = 4
 
 OTHER = re.compile(r"[\W_]+")
 RUNS = re.compile(r"(.)\1+")
@@ -53,9 +56,9 @@ def hashed(s: str) -> int:
 
 
 def shape(word: str) -> str:
-    """Letters as a or A, digits as 0, other signs as they are, runs as one, six signs at most."""
-    s = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:24])
-    return RUNS.sub(r"\1", s)[:6]
+    """Letters as a or A, digits as 0, other signs as they are, runs as one, over the whole word."""
+    s = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
+    return RUNS.sub(r"\1", s)
 
 
 class Words(dict):
@@ -66,11 +69,16 @@ class Words(dict):
         self.only = only
 
     def __missing__(self, word: str) -> tuple[str, tuple[int, ...]]:
-        core = OTHER.sub("", word.lower())[:40]
-        names = [f"w:{core}"] if core else []
-        names += [f"b{n}:{core[:n]}" for n in (4, 5) if len(core) > n]
+        core = OTHER.sub("", word.lower())
+        if len(core) > LONG_WORD:
+            names = {f"p:{core[i:i + PIECE]}" for i in range(len(core) - PIECE + 1)}
+        else:
+            names = [f"w:{core}"] if core else []
+            names += [f"b{n}:{core[:n]}" for n in (4, 5) if len(core) > n]
         own = tuple(map(hashed, names))
-        out = (sys.intern(shape(word)), own if self.only is None else tuple(f for f in own if f in self.only))
+        out = (shape(word), own if self.only is None else tuple(f for f in own if f in self.only))
+        if len(word) > LONG_WORD:
+            return out
         if len(self) >= KEEP_WORDS:
             self.clear()
         self[word] = out

@@ -52,6 +52,21 @@ def test_held_out_accuracy(spark):
     assert mean([r for r in test if r[3]]) < mean([r for r in test if not r[2]]) < mean([r for r in test if r[2] and not r[3]])
 
 
+def test_features_reach_to_the_end_of_long_words():
+    start = "abcdefgh" * 5
+    for tail in ("poison", "x" * 300 + "poison"):
+        a, b = quality.features(start + tail), quality.features(start + tail.replace("poison", "violet"))
+        assert quality.hashed("p:pois") in a - b and quality.hashed("p:viol") in b - a
+    # A text without spaces: each sequence of four signs counts wherever it stands.
+    rng = random.Random(4)
+    signs = [chr(c) for c in range(0x4E00, 0x4F00)]
+    text = "".join(rng.choice(signs) for _ in range(5000))
+    assert {quality.hashed(f"p:{text[i:i + 4]}") for i in range(len(text) - 3)} <= quality.features(text)
+    table = quality.Words()
+    table[text]
+    assert not dict(table)  # long words aren't kept
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0), (4, None, None), (None, 0, 0), (7, 1, 0)]], ids=["none", "one grade"])
 def test_quality_without_two_grades_keeps_all(spark, labels):
     docs = cases.table(spark, cases.rows())
