@@ -24,7 +24,8 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,12 @@ LEVELS = 24
 #: Kept chunks per worker, and the longest kept.
 KEEP_CHUNKS = 1_100_000
 KEEP_CHARS = 64
+#: Kept ends of words (runs of TAIL).
+KEEP_TAILS = 20_000
 #: Words encoded as one line.
 JOINED = 64
+#: Signs that form a piece of their own after a letter or a number.
+TAIL = ".,;:!?#$%&*()[]{}<>|/\\\"+-=_~"
 
 # --- encoding -----------------------------------------------------------------
 
@@ -58,7 +63,9 @@ class ChunkIds(dict):
     """Raw ids of a word with the space before it, by the tokenizers library.
 
     No piece of the split pattern reaches over a space that follows a
-    character other than white space, so such words are encoded once.
+    character other than white space, so such words are encoded once. A run of
+    TAIL after a letter or a number is a piece too, so a word that differs from a
+    known one by such an end only is put together.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,6 +76,8 @@ class ChunkIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size < 1 << 16 else "<u4")
+        #: Raw ids of the runs of TAIL at the end of words.
+        self.tails: dict[str, bytes] = {}
         #: Whether an id's text begins with a space.
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
@@ -76,12 +85,23 @@ class ChunkIds(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def learn(self, words: set[str]) -> None:
-        """Encode the words not met yet, many in one call."""
-        new = words - self.keys()
-        if len(self) + len(new) > KEEP_CHUNKS:
+        """Encode words that are not in the table, many in one call."""
+        if len(self) + len(words) > KEEP_CHUNKS:
             self.clear()
-            new = words
-        new = [w for w in new if len(w) <= KEEP_CHARS]
+        cores = {w: c for w in words if (c := w.rstrip(TAIL)) is not w and c[-1:].isalnum()}
+        plain = {c for c in cores.values() if c not in self}.union(w for w in words if w not in cores)
+        self.learn_plain([w for w in plain if len(w) <= KEEP_CHARS])
+        for w, c in cores.items():
+            raw = self.get(c)
+            if raw is not None and len(w) <= KEEP_CHARS:
+                tail = w[len(c):]
+                if tail not in self.tails:
+                    if len(self.tails) > KEEP_TAILS:
+                        self.tails.clear()
+                    self.tails[tail] = self.whole(tail)
+                self[w] = raw + self.tails[tail]
+
+    def learn_plain(self, new: list[str]) -> None:
         size = self.dtype.itemsize
         parts = [new[at:at + JOINED] for at in range(0, len(new), JOINED)]
         lines = [" " + " ".join(part) for part in parts]
@@ -101,9 +121,20 @@ class ChunkIds(dict):
         """The raw ids of whole texts."""
         # Runs of spaces, a space at the end and special strings need the text as a whole.
         split = [None if "  " in t or t.endswith(" ") or "<|" in t else t.split(" ") for t in texts]
-        self.learn(set().union(*(w for w in split if w)))
-        return [self.whole(t) if w is None else self.whole(w[0]) + b"".join(map(self.__getitem__, w[1:]))
-                for t, w in zip(texts, split, strict=True)]
+        words = list(chain.from_iterable(w[1:] for w in split if w))
+        ids = list(map(self.get, words))
+        new = set(compress(words, map(is_, ids, repeat(None))))  # the table itself is never gone through
+        if new:
+            self.learn(new)
+            ids = [self[w] if r is None else r for w, r in zip(words, ids, strict=True)]
+        out, at = [], 0
+        for t, w in zip(texts, split, strict=True):
+            if w is None:
+                out.append(self.whole(t))
+            else:
+                out.append(self.whole(w[0]) + b"".join(ids[at:at + len(w) - 1]))
+                at += len(w) - 1
+        return out
 
 
 def encoder(tokenizer: str) -> ChunkIds:

@@ -97,6 +97,18 @@ def test_files_are_keyed(spark, tmp_path):
     assert read_token_files(manifest, str(tmp_path)).count() == docs.count()
 
 
+def test_word_ends_are_pieces_of_their_own():
+    """Words put together from a known word and its end have the library's ids."""
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(8)
+    signs = "ab cZ9'.,;:!?#$%&*()[]{}<>|/\\\"+-=_~ \né中२Ⅷ²½\u0301"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(3000)]
+    texts += ["don't. don'ts, ab's! x's's. 12. 12.5. a-b- '' a' a'. word word. word.. word,", "end " + "w" * 70 + ". " + "v" * 63 + ".,"]
+    enc = encoder("byte_bpe_50k.json")
+    got = [raw for i in range(0, len(texts), 500) for raw in enc.encode(texts[i:i + 500])]
+    assert got == [np.array(lib.encode(t, add_special_tokens=False).ids, enc.dtype).tobytes() for t in texts]
+
+
 @pytest.mark.parametrize("key", [5, None])
 def test_a_hot_key_runs_over_several_shards(spark, tmp_path, key):
     data = [(key, "the same words") for _ in range(300)] + [(key, "z" * 200 + str(i)) for i in range(300)] + [(i, "other") for i in range(600, 1200)]
