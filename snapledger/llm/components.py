@@ -1,8 +1,8 @@
 """Connected components of an edge table by large-star / small-star rounds.
 
 Every round is joins and partially aggregated minima over the edges, so a node
-with very many edges is reduced in the map tasks and its join partition can be
-split. Nothing but two numbers per round reaches the driver.
+with very many edges is reduced in the map tasks; the join on such a node is
+dealt to parts. Nothing but two numbers per round reaches the driver.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapledger.functions.skew import salted_join
 from snapledger.llm.common import written
 
 
@@ -60,7 +61,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         seen = state
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = salted_join(both.where("v > u"), low, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         pairs = written(small.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "edges")

@@ -3,10 +3,11 @@
 A 64-bit fingerprint is cut into 32 segments of two bits, and the bit counts of
 the segments make a point in 32 dimensions. The Manhattan distance of two points
 is never above the bit distance of their fingerprints, so links within d bits
-lie within Manhattan distance d. The dimensions are dealt to d + 3 slabs; a pair
-within distance d agrees in all dimensions of at least 3 slabs, so it meets in
-the grid cell of some three slabs. In a cell the Manhattan distance filters and
-the bit distance decides.
+lie within Manhattan distance d. The dimensions are dealt to d + r slabs; a pair
+within distance d agrees in all dimensions of at least r slabs, so it meets in
+the grid cell of some r slabs, whatever r. In a cell the Manhattan distance
+filters and the bit distance decides. r follows the count of fingerprints: more
+slabs make cells of fewer points by chance, but more cells per point.
 
 Only distinct fingerprints enter the grid. A cell hands on a spanning forest of
 its links, never all pairs; a cell of more than TILE points is compared tile by
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb, log2
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,10 @@ TILE = 4096
 #: Cells of up to this many points are compared by shifting the sorted column.
 SHIFTS = 48
 SEGMENTS = 32
+#: Slabs that a cell's points agree in, at least, and what dealing a point to a
+#: cell costs, in comparisons.
+AGREE = 3
+DEALT = 64
 EVEN = np.uint64(0x5555555555555555)
 #: Stand-in ids of fingerprints whose documents all have a null id start here.
 NO_ID = 1 << 62
@@ -66,15 +72,29 @@ def popcount_code(points: np.ndarray) -> np.ndarray:
     return (low | high) | (low & high) << np.uint64(1)
 
 
-def cell_masks(distance: int) -> list[np.uint64]:
-    """For every three of the distance + 3 slabs, the bits of their segments."""
-    slabs = [sum(3 << 2 * s for s in range(k, SEGMENTS, distance + 3)) for k in range(distance + 3)]
-    return [np.uint64(sum(three)) for three in combinations(slabs, 3)]
+def agreeing_slabs(points: int, distance: int) -> int:
+    """How many slabs a cell's points agree in, for so many distinct fingerprints.
+
+    Two random segments have equal bit counts with probability 3/8, so a point
+    meets about points * (3/8)^(segments of r slabs) others by chance in each of
+    its cells. The r of the least work per point is taken; every r finds all links.
+    """
+    def work(r: int) -> float:
+        return comb(distance + r, r) * (DEALT + points * 2 ** (log2(3 / 8) * SEGMENTS * r / (distance + r)))
+
+    return min(range(AGREE, SEGMENTS - distance + 1), key=work)
+
+
+def cell_masks(distance: int, agree: int = AGREE) -> list[np.uint64]:
+    """For every ``agree`` of the distance + agree slabs, the bits of their segments."""
+    n = distance + agree
+    slabs = [sum(3 << 2 * s for s in range(k, SEGMENTS, n)) for k in range(n)]
+    return [np.uint64(sum(some)) for some in combinations(slabs, agree)]
 
 
-def cells_of(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """``(cell, point, rep)`` of every distinct fingerprint, one row per three slabs."""
-    masks = cell_masks(distance)
+def cells_of(batches: Iterator[pa.RecordBatch], distance: int, agree: int = AGREE) -> Iterator[pa.RecordBatch]:
+    """``(cell, point, rep)`` of every distinct fingerprint, one row per cell it lies in."""
+    masks = cell_masks(distance, agree)
     for b in batches:
         points = np.asarray(b.column(0), np.int64).view(np.uint64)
         codes = popcount_code(points)
@@ -183,12 +203,13 @@ def links_of_cells(batches: Iterator[pa.RecordBatch], distance: int, tile: int)
 COLUMNS = ["a", "b", "cell", "position"]
 
 
-def near_links(points: DataFrame, distance: int = DISTANCE, tile: int = TILE) -> DataFrame:
+def near_links(points: DataFrame, distance: int = DISTANCE, tile: int = TILE, agree: int = AGREE) -> DataFrame:
     """``a, b``: representatives of linked fingerprints, enough to connect every group.
 
-    ``points``: one row per distinct fingerprint, ``point`` (long) and ``rep``.
+    ``points``: one row per distinct fingerprint, ``point`` (long) and ``rep``;
+    ``agree``: see :func:`agreeing_slabs`.
     """
-    cells = map_batches(points.select("point", "rep"), lambda it: cells_of(it, distance), "cell long, point long, rep long")
+    cells = map_batches(points.select("point", "rep"), lambda it: cells_of(it, distance, agree), "cell long, point long, rep long")
     dealt = cells.repartition("cell").sortWithinPartitions("cell", "point")
     schema = "a long, b long, cell long, position long"
     # Both the links and the large cells' points come from one pass, so it is written.
@@ -234,7 +255,9 @@ def simhash_components(
     marked = written(map_batches(rows, mark, "key long, point long"), "simhash")
     points = marked.groupBy("point").agg(F.min("key").alias("rep"))
     points = points.withColumn("rep", F.coalesce("rep", F.lit(NO_ID) + F.shiftrightunsigned("point", 2)))
-    groups = connected_components(near_links(points, distance))
+    # The count only sets the grid's width, so an estimate will do.
+    n = marked.agg(F.approx_count_distinct("point")).first()[0]
+    groups = connected_components(near_links(points, distance, agree=agreeing_slabs(n, distance)))
     named = points.join(groups, points["rep"] == groups["node"], "left").select("point", F.coalesce("component", "rep").alias("component"))
     out = marked.join(named, "point")
     return out.select(

@@ -29,8 +29,8 @@ def test_simhash_components(spark, data):
     assert sorted(map(tuple, got.collect()), key=str) == want
 
 
-@pytest.mark.parametrize("tile", [4096, 20])
-def test_near_links_of_crowded_cells(spark, tile):
+@pytest.mark.parametrize(("tile", "agree"), [(4096, 3), (20, 3), (4096, 5)])
+def test_near_links_of_crowded_cells(spark, tile, agree):
     """A dense ball, scattered points and a chain; with a small tile every cell is a crowd."""
     rng = random.Random(1)
     centre = rng.getrandbits(64)
@@ -45,7 +45,7 @@ def test_near_links_of_crowded_cells(spark, tile):
     points = sorted(points)
     low = cases.pages_of(list(range(len(points))), lambda i, j: (points[i] ^ points[j]).bit_count() <= 4)
     df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, i) for i, p in enumerate(points)], "point long, rep long")
-    got = {r["node"]: r["component"] for r in connected_components(simhash.near_links(df, 4, tile)).collect()}
+    got = {r["node"]: r["component"] for r in connected_components(simhash.near_links(df, 4, tile, agree)).collect()}
     assert {i: got.get(i, i) for i in range(len(points))} == low
 
 
@@ -55,11 +55,29 @@ def test_lower_bound_never_exceeds_the_bit_distance():
     assert (np.bitwise_count(simhash.popcount_code(a) ^ simhash.popcount_code(b)) <= np.bitwise_count(a ^ b)).all()
 
 
-def test_components_of_stars_chains_and_nothing(spark):
+def test_grid_follows_the_number_of_fingerprints():
+    """Work per point grows far slower than the points, and every pair within reach shares a cell."""
+    agree = [simhash.agreeing_slabs(10**k, 4) for k in range(11)]
+    assert agree == sorted(agree) and agree[0] == agree[5] == 3 and agree[9] > 4
+    rng = random.Random(5)
+    for r in (3, 5, 6):
+        masks = simhash.cell_masks(4, r)
+        for _ in range(200):
+            a = rng.getrandbits(64)
+            b = a ^ sum(1 << x for x in rng.sample(range(64), 4))
+            x, y = simhash.popcount_code(np.array([a, b], np.uint64))
+            assert any(x & m == y & m for m in masks)
+
+
+@pytest.mark.parametrize("key_rows", [None, 5])
+def test_components_of_stars_chains_and_nothing(spark, key_rows):
+    if key_rows:  # stars dealt to parts
+        spark.conf.set("snapledger.skew.keyRows", key_rows)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3), (300, 299), (299, 300)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 260)]}, 299: 299, 300: 299}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    spark.conf.unset("snapledger.skew.keyRows")
 
 
 @pytest.mark.parametrize("small", [False, True])
