@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of one key that one task is meant to join; tunable per session. A key
@@ -13,6 +13,16 @@ KEY_ROWS_CONF = "snapledger.skew.keyRows"
 KEY_ROWS = 2_000_000
 
 
+def rows_of_one_task(spark: SparkSession) -> int:
+    return int(spark.conf.get(KEY_ROWS_CONF, str(KEY_ROWS)))
+
+
+def part_of_row(columns: Sequence[str]) -> Column:
+    """The part of a row whose key has ``_parts`` parts (none: one part), by a hash of the whole row."""
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    return F.when(parts > 1, F.pmod(F.xxhash64(*[F.col(c) for c in columns]), parts)).otherwise(0).cast("int")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], key_rows: int) -> DataFrame:
     """Keys with more than ``key_rows`` rows, and the parts each is split into.
 
@@ -44,12 +54,11 @@ def salted_join(
     (e.g. the raw events behind an as-of state): splitting a key that turns
     out not to be hot is harmless.
     """
-    key_rows = int(big.sparkSession.conf.get(KEY_ROWS_CONF, str(KEY_ROWS)))
+    key_rows = rows_of_one_task(big.sparkSession)
     on = list(hot_on or keys)
     hot = F.broadcast(hot_keys((key_source if key_source is not None else big).select(*on), on, key_rows))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    spread = big.join(hot, on, "left").withColumn(
-        "_part", F.when(parts > 1, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), parts)).otherwise(0).cast("int"))
+    spread = big.join(hot, on, "left").withColumn("_part", part_of_row(big.columns))
     copies = small.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     # ``small`` may come hash-partitioned on the keys alone; joining in that layout
     # would bring the parts together again, so it is dealt by key and part.

@@ -198,7 +198,7 @@ def q_upsert_purchase(spark: SparkSession, sf: str) -> DataFrame:
 def q_silver_product_item_enriched(spark: SparkSession, sf: str) -> DataFrame:
     items = _silver(spark, sf, PRODUCT_ITEM)
     purchases = _silver(spark, sf, PURCHASE)
-    return _no_clock(silver.enrich_from_current(items, purchases))
+    return _no_clock(silver.enrich_from_current(items, purchases, key_source=_bronze(spark, sf, PRODUCT_ITEM)))
 
 
 # ---------------------------------------------------------------- as-of

@@ -15,7 +15,9 @@ RECOMMENDED_CONF = {
     # several tasks (the other side's partition is replicated).
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A task sorts several such partitions at once, each of them several times
+    # as large in memory as in the shuffle; see also INPUT_PER_PARTITION.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     # No broadcast from plan-time estimates: they come from compressed file
     # sizes and ignore fan-out (explode, joins), so they can be far too small.
     # Broadcasts happen only (a) at runtime, when AQE has measured the real
@@ -37,15 +39,36 @@ RECOMMENDED_CONF = {
 STATIC_CONF = {"spark.ui.enabled", "spark.ui.showConsoleProgress"}
 
 
-def apply_sql_conf(spark: SparkSession) -> SparkSession:
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Bytes of the larger tables per shuffle partition, before AQE joins small ones:
+#: with a fixed number the memory of a task would grow with the tables.
+INPUT_PER_PARTITION = 4 << 20
+LARGER_TABLES = ("orders", "lineitem", "customer")
+
+
+def apply_sql_conf(spark: SparkSession, sf_dir: str | None = None) -> SparkSession:
     """Apply the runtime SQL settings of :data:`RECOMMENDED_CONF` to a session
-    the package did not create (results do not depend on them; plans do)."""
+    the package did not create (results do not depend on them; plans do). With
+    ``sf_dir`` shuffles get as many partitions as its tables ask for."""
     for k, v in RECOMMENDED_CONF.items():
         if k not in STATIC_CONF and spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    if sf_dir is not None:
+        own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL_PARTITIONS, str(max(own, -(-_bytes_of(spark, sf_dir) // INPUT_PER_PARTITION))))
     return spark
 
 
+def _bytes_of(spark: SparkSession, sf_dir: str) -> int:
+    total = 0
+    for t in LARGER_TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "snapledger",
